@@ -6,6 +6,12 @@ Spark plan. Doubles are rounded to 6 decimals in both engines before comparison.
 
 from __future__ import annotations
 
+WINDOW_DOUBLES = [
+    "time_start", "time_end", "byte_total", "byte_mean", "byte_std", "byte_min", "byte_max", "pkt_rate",
+    "byte_rate", "flow_duration", "IAT_mean", "IAT_std", "IAT_min", "IAT_max", "IAT_total", "syn_ratio",
+    "ack_ratio", "fin_ratio", "rst_ratio", "psh_ratio", "protocol_entropy", "dominant_ratio",
+]
+
 PROTO_CASE = (
     "CASE protocol WHEN 'ICMP' THEN 1 WHEN 'TCP' THEN 6 WHEN 'UDP' THEN 17 WHEN 'ICMPv6' THEN 58 "
     "WHEN 'ARP' THEN 2054 WHEN 'OpenFlow' THEN 6653 WHEN 'DNS' THEN 53 WHEN 'MDNS' THEN 5353 "
@@ -145,3 +151,45 @@ def round_sql(sql: str, double_cols: list[str], digits: int = 6) -> str:
         return sql
     rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in double_cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
+
+
+# ------------------------------------------------------------------ labelled timeline
+TEST_RULE = ("10.0.0.5", "10.0.0.3", 0.0, 648000.0, 1)
+
+
+def labeled_ctes(rule=TEST_RULE) -> str:
+    src, dst, t0, t1, lab = rule
+    offs = ["SELECT 0 AS capture_ord, CAST(0.0 AS DOUBLE) AS off"]
+    nxt = "CAST(0.0 AS DOUBLE)"
+    for i in range(1, 4):
+        nxt = f"(((SELECT m FROM mx WHERE capture_ord = {i - 1}) + {nxt}) + 1.0)"
+        offs.append(f"SELECT {i}, {nxt}")
+    return f"""
+labeled AS (
+  SELECT no, local_time AS time, source, destination, protocol, length, info, capture AS capture_ord,
+         CASE capture WHEN 0 THEN 'DDoS-TCP' WHEN 1 THEN 'PortScan' WHEN 2 THEN 'Fuzzer' ELSE 'BruteForce' END AS capture_name,
+         CASE WHEN capture = 0 THEN (CASE WHEN source = '{src}' AND destination = '{dst}'
+                                           AND local_time >= {t0} AND local_time <= {t1} THEN {lab} ELSE 0 END)
+              WHEN capture = 1 THEN 2 WHEN capture = 2 THEN 3 ELSE 4 END AS label
+  FROM clean
+),
+mx AS (SELECT capture_ord, max(time) AS m FROM labeled GROUP BY capture_ord),
+offs AS ({' UNION ALL '.join(offs)}),
+timeline AS (
+  SELECT labeled.*, labeled.time + offs.off AS global_time FROM labeled LEFT JOIN offs USING (capture_ord)
+)"""
+
+
+def downsample_cte(src: str, name: str, frac: float, min_keep: int, labels: list[int], seed: int = 42) -> str:
+    lab = ", ".join(str(x) for x in labels)
+    return f"""
+{name}_r AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY (no * 7919 + {seed} * 104729) % 1000003, no) - 1 AS _r,
+         count(*) OVER (PARTITION BY label) AS _nl
+  FROM {src}
+),
+{name} AS (
+  SELECT * EXCLUDE (_r, _nl) FROM {name}_r
+  WHERE label NOT IN ({lab})
+     OR _r < CASE WHEN _nl > {min_keep} THEN greatest(floor(_nl * CAST({frac} AS DOUBLE)), {min_keep}) ELSE _nl END
+)"""

@@ -15,11 +15,7 @@ from flowlens.plans import oracle as O
 from flowlens.plans.registry import register
 from flowlens.sources.packets import packets_from_events
 
-WINDOW_DOUBLES = [
-    "time_start", "time_end", "byte_total", "byte_mean", "byte_std", "byte_min", "byte_max", "pkt_rate",
-    "byte_rate", "flow_duration", "IAT_mean", "IAT_std", "IAT_min", "IAT_max", "IAT_total", "syn_ratio",
-    "ack_ratio", "fin_ratio", "rst_ratio", "psh_ratio", "protocol_entropy", "dominant_ratio",
-]
+WINDOW_DOUBLES = O.WINDOW_DOUBLES
 
 
 def clean(spark: SparkSession, sf_dir: str, length_policy: str = "zero") -> DataFrame:
@@ -47,3 +43,4 @@ def q_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_window_features_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_features(features(spark, sf_dir), method="explode")
+import flowlens.plans.queries_prep  # noqa: E402,F401
