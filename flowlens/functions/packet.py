@@ -81,3 +81,10 @@ def class_name(label="label") -> Column:
     """L4: class id -> name, unknown id -> 'Class_<id>'."""
     c = _col(label)
     return F.coalesce(_literal_map(CLASS_NAMES)[c], F.concat(F.lit("Class_"), c.cast("string")))
+
+
+def exact_avg(c) -> Column:
+    """Mean with an exact decimal sum: the result does not depend on how rows are
+    partitioned or combined (float sums of values near 1e11 do)."""
+    x = _col(c)
+    return F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)

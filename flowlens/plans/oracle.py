@@ -193,3 +193,52 @@ def downsample_cte(src: str, name: str, frac: float, min_keep: int, labels: list
   WHERE label NOT IN ({lab})
      OR _r < CASE WHEN _nl > {min_keep} THEN greatest(floor(_nl * CAST({frac} AS DOUBLE)), {min_keep}) ELSE _nl END
 )"""
+
+
+def hist_sql(src: str, value: str, bins: int, keys: list[str], name: str, density: bool = False) -> str:
+    """CTEs ``{name}`` = numpy-style histogram of ``value`` in ``src`` per ``keys`` (all bins)."""
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    using = f"USING ({k})" if keys else "ON TRUE"
+    gb = f"GROUP BY {k}" if keys else ""
+    dens = f", coalesce(c.c, 0) / (g.n * ((g.hi - g.lo) / {float(bins)})) AS density" if density else ""
+    gk = ", ".join(f"g.{x}" for x in keys)
+    gkc = (gk + ", ") if keys else ""
+    on_c = " AND ".join([f"c.{x} = g.{x}" for x in keys] + ["c.bin = g.bin"])
+    return f"""
+{name}_v AS (SELECT {kc}CAST({value} AS DOUBLE) AS x FROM {src} WHERE {value} IS NOT NULL),
+{name}_r AS (
+  SELECT {kc}count(*) AS n,
+         CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+         CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi
+  FROM {name}_v {gb}
+),
+{name}_c AS (
+  SELECT {kc}CAST(least(floor((x - lo) * ({float(bins)} / (hi - lo))), {bins - 1}) AS INTEGER) AS bin, count(*) AS c
+  FROM {name}_v JOIN {name}_r {using} GROUP BY ALL
+),
+{name}_g AS (SELECT {kc}n, lo, hi, CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM {name}_r),
+{name} AS (
+  SELECT {gkc}g.bin, g.lo + g.bin * ((g.hi - g.lo) / {float(bins)}) AS edge_lo,
+         g.lo + (g.bin + 1) * ((g.hi - g.lo) / {float(bins)}) AS edge_hi,
+         coalesce(c.c, 0) AS count{dens}
+  FROM {name}_g g LEFT JOIN {name}_c c ON {on_c}
+)"""
+
+
+def corr_sql(src: str, cols: list[str], pairs: list[tuple[str, str]], name: str) -> str:
+    """CTE ``{name}`` (f1, f2, corr): two-pass Pearson, null when a variance is 0."""
+    idx = {c: i for i, c in enumerate(cols)}
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}" for i, c in enumerate(cols))
+    devs = ", ".join(f"CAST({c} AS DOUBLE) - m{i} AS d{i}" for i, c in enumerate(cols))
+    sums = ", ".join([f"sum(d{i} * d{i}) AS s{i}" for i in range(len(cols))] +
+                     [f"sum(d{idx[a]} * d{idx[b]}) AS c{k}" for k, (a, b) in enumerate(pairs)])
+    rows = " UNION ALL ".join(
+        f"SELECT '{a}' AS f1, '{b}' AS f2, CASE WHEN s{idx[a]} * s{idx[b]} = 0 THEN NULL "
+        f"ELSE c{k} / sqrt(s{idx[a]} * s{idx[b]}) END AS corr FROM {name}_s"
+        for k, (a, b) in enumerate(pairs))
+    return f"""
+{name}_m AS (SELECT {means} FROM {src}),
+{name}_d AS (SELECT {devs} FROM {src}, {name}_m),
+{name}_s AS (SELECT {sums} FROM {name}_d),
+{name} AS ({rows})"""

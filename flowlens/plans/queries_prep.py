@@ -21,6 +21,7 @@ from flowlens.operators.timeline import merge_timeline
 from flowlens.operators.windows import window_features
 from flowlens.plans import oracle as O
 from flowlens.plans.registry import register
+from flowlens.session import materialize
 from flowlens.sources.hosts import host_dim
 from flowlens.sources.packets import capture_frames, packets_from_events, scan_nrows
 
@@ -39,7 +40,7 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged, labelled timeline -> downsample (reference defaults) -> packet features."""
-    return packet_features(downsample(timeline(spark, sf_dir)))
+    return materialize(packet_features(downsample(timeline(spark, sf_dir))))
 
 
 BASE = [O.PACKETS, O.CLEAN_ZERO]

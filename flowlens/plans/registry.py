@@ -33,11 +33,13 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
     return deco
 
 
-def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every floating column (same rule as the oracle side)."""
+def round_doubles(df: DataFrame, names: list[str] | None = None, digits: int = DIGITS) -> DataFrame:
+    """Round the named floating columns (all of them when ``names`` is None), the same
+    rule as the oracle side. Columns computed by identical IEEE operations in both
+    engines (e.g. histogram edges) are left exact."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (names is None or f.name in names):
             cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
@@ -46,7 +48,7 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):
-        return lambda spark, sf_dir: round_doubles(q.build(spark, sf_dir))
+        return lambda spark, sf_dir: round_doubles(q.build(spark, sf_dir), q.doubles)
 
     return {name: wrap(q) for name, q in REGISTRY.items()}
 

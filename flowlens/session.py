@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "flowlens") -> SparkSession:
@@ -47,3 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used where one table feeds several passes (rank boundaries, counts, consumers), so
+    upstream work is not recomputed per pass; a reliable checkpoint survives the loss
+    of executors (unlike a cache or a local checkpoint).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
