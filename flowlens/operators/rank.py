@@ -111,3 +111,28 @@ def packet_rank(
 
 def order_key(primary: str, tiebreak: str) -> list[Column]:
     return [F.col(primary), F.col(tiebreak)]
+
+
+def running_sums(
+    df: DataFrame,
+    sums: dict[str, Column],
+    order_by: tuple[str, str],
+    keys: list[str] | None = None,
+    num_buckets: int | None = None,
+) -> DataFrame:
+    """Inclusive running sums of several expressions in (order_by) order, per key,
+    with the same two-level plan as ``packet_rank`` (bucket totals -> prefix over the
+    small totals table -> bucket-local window + offset)."""
+    keys = list(keys or [])
+    primary, tiebreak = order_by
+    staged = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()])
+    b = add_order_bucket(staged, primary, tiebreak, num_buckets)
+    tot = b.groupBy(*keys, BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    wk = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(*keys, BUCKET, *[F.coalesce(F.sum(f"_t_{n}").over(wk), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    if not keys:
+        offs = F.broadcast(offs)
+    j = b.join(offs, on=[*keys, BUCKET], how="inner")
+    w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(primary), F.col(tiebreak)).rowsBetween(Window.unboundedPreceding, 0)
+    out = j.select("*", *[(F.sum(f"_v_{n}").over(w) + F.col(f"_o_{n}")).alias(n) for n in sums])
+    return out.drop(BUCKET, *[f"_v_{n}" for n in sums], *[f"_o_{n}" for n in sums])

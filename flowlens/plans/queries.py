@@ -45,3 +45,4 @@ def q_window_features_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_features(features(spark, sf_dir), method="explode")
 import flowlens.plans.queries_prep  # noqa: E402,F401
 import flowlens.plans.queries_eda  # noqa: E402,F401
+import flowlens.plans.queries_eval  # noqa: E402,F401
