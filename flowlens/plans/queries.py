@@ -46,3 +46,4 @@ def q_window_features_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 import flowlens.plans.queries_prep  # noqa: E402,F401
 import flowlens.plans.queries_eda  # noqa: E402,F401
 import flowlens.plans.queries_eval  # noqa: E402,F401
+import flowlens.plans.queries_ml  # noqa: E402,F401
