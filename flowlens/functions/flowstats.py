@@ -26,9 +26,9 @@ def flow_rates(df: DataFrame) -> DataFrame:
     )
 
 
-def flow_key(sep: str = "") -> Column:
+def flow_key(sep: str = "", src: str = "ip_src", dst: str = "ip_dst") -> Column:
     """ip_src, tp_src, ip_dst, tp_dst, ip_proto concatenated (no separator by default)."""
-    parts = ["ip_src", "tp_src", "ip_dst", "tp_dst", "ip_proto"]
+    parts = [src, "tp_src", dst, "tp_dst", "ip_proto"]
     return F.concat_ws(sep, *[F.col(p).cast("string") for p in parts])
 
 
