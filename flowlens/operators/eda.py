@@ -95,9 +95,22 @@ def correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[str,
     means = x.agg(*[F.avg(c).alias(f"_m_{i}") for i, c in enumerate(cols)])
     idx = {c: i for i, c in enumerate(cols)}
     xc = x.crossJoin(F.broadcast(means)).select(*[(F.col(c) - F.col(f"_m_{i}")).alias(f"_d_{i}") for i, c in enumerate(cols)])
-    sq = [F.sum(F.col(f"_d_{i}") * F.col(f"_d_{i}")).alias(f"_s_{i}") for i in range(len(cols))]
-    cp = [F.sum(F.col(f"_d_{idx[a]}") * F.col(f"_d_{idx[b]}")).alias(f"_c_{k}") for k, (a, b) in enumerate(pairs)]
-    sums = xc.agg(*sq, *cp)
+    prods = [F.col(f"_d_{i}") * F.col(f"_d_{i}") for i in range(len(cols))] + \
+            [F.col(f"_d_{idx[a]}") * F.col(f"_d_{idx[b]}") for a, b in pairs]
+    if len(prods) <= 64:
+        sums = xc.agg(*[F.sum(p).alias(f"_q_{k}") for k, p in enumerate(prods)])
+    else:
+        # many pairs: one vector sum (Summarizer) instead of hundreds of aggregate
+        # expressions, which would outgrow generated-code limits
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.stat import Summarizer
+
+        vec = xc.select(array_to_vector(F.array(*prods)).alias("_p"))
+        tot = vec.select(Summarizer.sum(F.col("_p")).alias("_s")).select(vector_to_array("_s").alias("_a"))
+        sums = tot.select(*[F.col("_a")[k].alias(f"_q_{k}") for k in range(len(prods))])
+    nc = len(cols)
+    sums = sums.select(*[F.col(f"_q_{i}").alias(f"_s_{i}") for i in range(nc)],
+                       *[F.col(f"_q_{nc + k}").alias(f"_c_{k}") for k in range(len(pairs))])
     rows = [
         F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"),
                  F.try_divide(F.col(f"_c_{k}"), F.sqrt(F.col(f"_s_{idx[a]}") * F.col(f"_s_{idx[b]}"))).alias("corr"))

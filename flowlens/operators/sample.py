@@ -33,12 +33,19 @@ def downsample(
     kept, using the keyed two-level rank (no single-partition window, no driver loop).
     ``labels=None`` thins every label.
     """
-    h = df.withColumn("_h", portable_hash(id_col, seed).cast("double"))
+    listed = F.lit(True) if labels is None else F.col(label_col).isin(list(labels))
+    # one row per label (bounded by the label set): which labels actually need thinning
+    counts = df.where(listed).groupBy(label_col).agg(F.count(F.lit(1)).alias("_nl")).collect()
+    thin = [r[label_col] for r in counts if r["_nl"] > min_keep]
+    if not thin:
+        return df  # every listed label is kept whole: no rank pass at all
+    is_thin = F.col(label_col).isin(thin)
+    h = df.where(is_thin).withColumn("_h", portable_hash(id_col, seed).cast("double"))
     ranked = packet_rank(h, order_by=("_h", id_col), rank_col="_r", keys=[label_col], total_col="_nl")
     n = F.col("_nl")
-    keep = F.when(n > F.lit(min_keep), F.greatest(F.floor(n * F.lit(float(sample_frac))), F.lit(min_keep))).otherwise(n)
-    listed = F.lit(True) if labels is None else F.col(label_col).isin(list(labels))
-    return ranked.where(~listed | (F.col("_r") < keep)).drop("_h", "_r", "_nl")
+    keep = F.greatest(F.floor(n * F.lit(float(sample_frac))), F.lit(min_keep))
+    kept = ranked.where(F.col("_r") < keep).drop("_h", "_r", "_nl")
+    return df.where(~is_thin | is_thin.isNull()).unionByName(kept)
 
 
 def sample_series(windows: DataFrame, n: int = 500, seed: int = RANDOM_SEED) -> DataFrame:
