@@ -48,10 +48,16 @@ def global_timeline(merged: DataFrame) -> DataFrame:
     return merged.join(offs, "capture_ord", "left").withColumn("global_time", F.col("time") + F.col("off")).drop("off")
 
 
-def merge_timeline(captures: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+def merge_timeline(captures: Sequence[tuple[str, DataFrame]], materialize=None) -> DataFrame:
     """U1 + U2. The global sort (U3) is not materialised: consumers order by
-    (global_time, no), e.g. the rank operator or a sink's orderBy."""
-    return global_timeline(merge_captures(captures))
+    (global_time, no), e.g. the rank operator or a sink's orderBy.
+
+    ``materialize`` (e.g. ``flowlens.session.materialize``) writes the union once, so
+    the per-capture maxima and every later pass read it instead of the sources."""
+    merged = merge_captures(captures)
+    if materialize is not None:
+        merged = materialize(merged)
+    return global_timeline(merged)
 
 
 def global_sort(df: DataFrame) -> DataFrame:

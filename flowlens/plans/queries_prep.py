@@ -23,7 +23,7 @@ from flowlens.plans import oracle as O
 from flowlens.plans.registry import register
 from flowlens.session import materialize
 from flowlens.sources.hosts import host_dim
-from flowlens.sources.packets import capture_frames, packets_from_events, scan_nrows
+from flowlens.sources.packets import capture_frames_from_events, packets_from_events, read_table, scan_nrows
 
 TEST_RULES = [O.TEST_RULE]
 PACKET_DOUBLES = ["time", "local_time"]
@@ -33,9 +33,11 @@ def clean(spark: SparkSession, sf_dir: str, length_policy: str = "zero") -> Data
     return clean_packets(packets_from_events(spark, sf_dir), length_policy)
 
 
-def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    caps = capture_frames(clean(spark, sf_dir))
-    return merge_timeline(label_captures(caps, TEST_RULES))
+def timeline(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """Captures (each scanning its own time range) -> clean -> label -> merged timeline,
+    the union written once to the shared checkpoint folder."""
+    caps = capture_frames_from_events(read_table(spark, sf_dir, "events"), clean_packets)
+    return merge_timeline(label_captures(caps, TEST_RULES), materialize if materialized else None)
 
 
 def training_packets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,9 +127,10 @@ def q_stream_metrics(spark, sf):
     """Running counts per predicted class, complete mode, read back after the stream."""
     from flowlens.plans.queries_eval import predictions
 
-    p = predictions(spark, sf).select("event_id", "ts", "prediction")
+    p = predictions(spark, sf).select(
+        "event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").alias("t_us"), "prediction")
     base = _scratch(spark, "x4-in")
-    schema = _write_in_order(p, base, "ts")
+    schema = _write_in_order(p, base, "t_us")
     name = "x4_" + uuid.uuid4().hex[:8]
     q = (X.stream_metrics(_stream_source(spark, base, schema)).writeStream.format("memory").queryName(name)
          .outputMode("complete").option("checkpointLocation", _scratch(spark, "x4-ck")).trigger(availableNow=True).start())

@@ -145,3 +145,26 @@ def capture_frames(packets: DataFrame) -> list[tuple[str, DataFrame]]:
             )
         )
     return out
+
+
+def capture_frames_from_events(events: DataFrame, clean=None) -> list[tuple[str, DataFrame]]:
+    """The four captures of the adapter, each scanning only its own time range.
+
+    The range predicate is stated on the raw ``ts`` column so Parquet row-group
+    statistics can skip the other captures' data (PushedFilters); the exact capture
+    test on the derived column is kept as well.
+    """
+    from flowlens.constants import CAPTURE_ORDER
+
+    start = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+    out = []
+    for i, name in enumerate(CAPTURE_ORDER):
+        cond = F.col("ts") >= F.expr(f"{start} + make_dt_interval(0, 0, 0, {i * CAPTURE_SECONDS})")
+        if i < len(CAPTURE_ORDER) - 1:
+            cond = cond & (F.col("ts") < F.expr(f"{start} + make_dt_interval(0, 0, 0, {(i + 1) * CAPTURE_SECONDS})"))
+        pk = events_as_packets(events.where(cond))
+        if clean is not None:
+            pk = clean(pk)
+        frame = pk.where(F.col("capture") == i).drop("time", "capture").withColumnRenamed("local_time", "time")
+        out.append((name, frame))
+    return out
