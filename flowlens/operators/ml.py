@@ -100,9 +100,11 @@ def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
                                                    weightCol="weight", labelCol=LABEL, featuresCol="scaled"), True, "proba"),
         "SVM (Linear)": (OneVsRest(classifier=LinearSVC(maxIter=2000, regParam=reg, standardization=False),
-                                   weightCol="weight", labelCol=LABEL, featuresCol="scaled"), True, "score"),
+                                   weightCol="weight", labelCol=LABEL, featuresCol="scaled",
+                                   parallelism=len(CLASS_NAMES)), True, "score"),
         "Gradient Boosting": (OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=8, stepSize=0.1, seed=RANDOM_SEED),
-                                        weightCol="weight", labelCol=LABEL, featuresCol="features"), False, "ovr_margin"),
+                                        weightCol="weight", labelCol=LABEL, featuresCol="features",
+                                        parallelism=len(CLASS_NAMES)), False, "ovr_margin"),
     }
 
 
@@ -305,6 +307,19 @@ def load_bundle(spark, path: str) -> dict:
     return {"meta": meta, "stats": stats, "models": models}
 
 
+def select_model_table(metrics: DataFrame) -> DataFrame:
+    """S7 over a metrics table: ensemble/voting models first, then the best model (highest
+    F1, name breaks ties), then the rest by name; ``pick`` = 1 is the model used."""
+    from pyspark.sql import Window
+
+    best = Window.orderBy(F.desc("f1"), "model")
+    low = F.lower(F.col("model"))
+    ranked = metrics.withColumn("_best", F.row_number().over(best) == 1)
+    cls = F.when(low.contains("ensemble") | low.contains("voting"), 0).when(F.col("_best"), 1).otherwise(2)
+    # one row per model: a window over this small table is fine
+    return ranked.withColumn("pick", F.row_number().over(Window.orderBy(cls, "model"))).drop("_best")
+
+
 def select_model(names: Sequence[str], best: str | None) -> list[str]:
     """ensemble/voting models first, then the best model, then the rest (stable)."""
     def key(ix_name):

@@ -224,12 +224,16 @@ def _pane_windows(ranked: DataFrame, size: int, step: int, has_labels: bool, das
     if dashboard:
         for name, field, cast in [("rep_src_ip", "source", None), ("rep_dst_ip", "destination", None),
                                   ("rep_dst_port", "dst_port", "string")]:
-            vals = F.transform(F.col("_rep"), lambda s, f=field: s[f])
+            vals = F.transform(F.col("_rep"), _field_getter(field))
             c = _array_mode(vals)
             wdf = wdf.withColumn(name, c.cast("string") if cast else c)
     return _finish(wdf, step, has_labels, dashboard)
 
 
+def _field_getter(name: str):
+    return lambda s: s[name]
+
+
 def _array_mode(vals: Column) -> Column:
     """Most frequent non-null value of an array (<= size elements); ties -> smallest."""
     distinct = F.array_distinct(F.filter(vals, lambda v: v.isNotNull()))

@@ -149,7 +149,8 @@ def round_sql(sql: str, double_cols: list[str], digits: int = 6) -> str:
     """Wrap a query so its double columns are rounded (same rule as the Spark side)."""
     if not double_cols:
         return sql
-    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in double_cols)
+    scale = float(10 ** digits)
+    rep = ", ".join(f"round_even(CAST({c} AS DOUBLE) * {scale}, 0) / {scale} AS {c}" for c in double_cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 
@@ -242,3 +243,18 @@ def corr_sql(src: str, cols: list[str], pairs: list[tuple[str, str]], name: str)
 {name}_d AS (SELECT {devs} FROM {src}, {name}_m),
 {name}_s AS (SELECT {sums} FROM {name}_d),
 {name} AS ({rows})"""
+
+
+def dashboard_sql(step: int = 10) -> str:
+    """CTEs after ``windows_sql``: per-window modes (ties -> smallest) and the T4b projection ``dash``."""
+    parts = []
+    for name, col in [("ms", "source"), ("md", "destination"), ("mp", "dst_port")]:
+        parts.append(f"""{name} AS (SELECT w, {col} AS v, count(*) AS c FROM wx WHERE {col} IS NOT NULL GROUP BY w, {col}),
+{name}r AS (SELECT w, v FROM (SELECT w, v, row_number() OVER (PARTITION BY w ORDER BY c DESC, v) AS k FROM {name}) WHERE k = 1)""")
+    return ",\n".join(parts) + f""",
+dash AS (
+  SELECT windows.* EXCLUDE (URG_count, dominant_ratio, Label), msr.v AS rep_src_ip, mdr.v AS rep_dst_ip,
+         CAST(mpr.v AS VARCHAR) AS rep_dst_port
+  FROM windows LEFT JOIN msr ON msr.w * {step} = windows.window_idx LEFT JOIN mdr ON mdr.w * {step} = windows.window_idx
+       LEFT JOIN mpr ON mpr.w * {step} = windows.window_idx
+)"""

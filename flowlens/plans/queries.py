@@ -48,3 +48,4 @@ import flowlens.plans.queries_eda  # noqa: E402,F401
 import flowlens.plans.queries_eval  # noqa: E402,F401
 import flowlens.plans.queries_ml  # noqa: E402,F401
 import flowlens.plans.queries_stream  # noqa: E402,F401
+import flowlens.plans.queries_more  # noqa: E402,F401

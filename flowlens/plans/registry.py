@@ -40,7 +40,10 @@ def round_doubles(df: DataFrame, names: list[str] | None = None, digits: int = D
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (names is None or f.name in names):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            # rint(x * 10^d) / 10^d: the same IEEE operations as the oracle's
+            # round_even(x * 10^d, 0) / 10^d, so equal inputs give equal outputs
+            scale = float(10 ** digits)
+            cols.append((F.rint(F.col(f"`{f.name}`").cast("double") * scale) / scale).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
