@@ -85,38 +85,32 @@ def exact_percentiles(
 
 
 def correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """Pearson correlation for column pairs (all pairs i<j by default), two passes:
-    means (one-row aggregate), then centred cross-products (one-row aggregate).
-    A constant column gives null (pandas: NaN) instead of an ANSI divide-by-zero.
-    Output: f1, f2, corr."""
+    """Pearson correlation for column pairs (all pairs i<j by default). Output: f1, f2, corr.
+
+    Pass 1: column means (one-row aggregate, broadcast). Pass 2: Spark ML's Gramian-based
+    ``Correlation.corr`` (tree aggregation of BLAS updates) on the centred vectors; centring
+    first keeps its one-pass covariance formula as exact as a two-pass one. The result is a
+    k x k matrix (bounded by the number of columns). A constant column gives null (pandas:
+    NaN), never an ANSI divide-by-zero.
+    """
+    import math
+
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+
     cols = list(cols)
     pairs = list(pairs) if pairs is not None else list(combinations(cols, 2))
+    idx = {c: i for i, c in enumerate(cols)}
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     means = x.agg(*[F.avg(c).alias(f"_m_{i}") for i, c in enumerate(cols)])
-    idx = {c: i for i, c in enumerate(cols)}
-    xc = x.crossJoin(F.broadcast(means)).select(*[(F.col(c) - F.col(f"_m_{i}")).alias(f"_d_{i}") for i, c in enumerate(cols)])
-    prods = [F.col(f"_d_{i}") * F.col(f"_d_{i}") for i in range(len(cols))] + \
-            [F.col(f"_d_{idx[a]}") * F.col(f"_d_{idx[b]}") for a, b in pairs]
-    if len(prods) <= 64:
-        sums = xc.agg(*[F.sum(p).alias(f"_q_{k}") for k, p in enumerate(prods)])
-    else:
-        # many pairs: one vector sum (Summarizer) instead of hundreds of aggregate
-        # expressions, which would outgrow generated-code limits
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-        from pyspark.ml.stat import Summarizer
-
-        vec = xc.select(array_to_vector(F.array(*prods)).alias("_p"))
-        tot = vec.select(Summarizer.sum(F.col("_p")).alias("_s")).select(vector_to_array("_s").alias("_a"))
-        sums = tot.select(*[F.col("_a")[k].alias(f"_q_{k}") for k in range(len(prods))])
-    nc = len(cols)
-    sums = sums.select(*[F.col(f"_q_{i}").alias(f"_s_{i}") for i in range(nc)],
-                       *[F.col(f"_q_{nc + k}").alias(f"_c_{k}") for k in range(len(pairs))])
-    rows = [
-        F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"),
-                 F.try_divide(F.col(f"_c_{k}"), F.sqrt(F.col(f"_s_{idx[a]}") * F.col(f"_s_{idx[b]}"))).alias("corr"))
-        for k, (a, b) in enumerate(pairs)
-    ]
-    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.f1", "r.f2", "r.corr")
+    centred = x.crossJoin(F.broadcast(means)).select(
+        array_to_vector(F.array(*[(F.col(c) - F.col(f"_m_{i}")) for i, c in enumerate(cols)])).alias("_v"))
+    mat = Correlation.corr(centred, "_v").first()[0].toArray()
+    rows = []
+    for a, b in pairs:
+        v = float(mat[idx[a], idx[b]])
+        rows.append((a, b, None if math.isnan(v) else v))
+    return df.sparkSession.createDataFrame(rows, "f1 string, f2 string, corr double")
 
 
 # ---------------------------------------------------------------------- packets
