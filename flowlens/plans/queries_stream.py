@@ -12,6 +12,7 @@ from flowlens.operators.packet_features import parse_packets
 from flowlens.operators.rank import packet_rank
 from flowlens.plans import oracle as O
 from flowlens.plans.queries_prep import clean, timeline
+from flowlens.plans import queries_eval as _EV
 from flowlens.plans.registry import register
 from flowlens.session import shared_path
 from flowlens.streaming import streams as X
@@ -72,7 +73,9 @@ def _stream_source(spark, base, schema):
             .parquet(base))
 
 
-@register("stream_count_windows")
+@register("stream_count_windows",
+          O.with_ctes(O.PACKETS, O.CLEAN_ZERO, O.feat_cte(), O.windows_sql("feat"), final="SELECT * FROM windows"),
+          O.WINDOW_DOUBLES)
 def q_stream_windows(spark, sf):
     """Streaming count windows over the packets arriving as time-ordered files; equals the
     batch windows (tests/test_streaming.py)."""
@@ -111,7 +114,9 @@ def q_stream_packet_rate(spark, sf):
     return spark.read.parquet(out)
 
 
-@register("stream_flow_stats")
+@register("stream_flow_stats", O.with_ctes(O.PACKETS, O.CLEAN_ZERO, O.feat_cte(), FLOWS, final="SELECT * FROM fs"),
+          ["timestamp", "packet_count_per_second", "packet_count_per_nsecond", "byte_count_per_second",
+           "byte_count_per_nsecond"])
 def q_stream_flow_stats(spark, sf):
     """Flow statistics over a stream of flow-counter entries (stateless, file sink)."""
     e = flows(spark, sf)
@@ -122,7 +127,7 @@ def q_stream_flow_stats(spark, sf):
     return spark.read.parquet(out)
 
 
-@register("stream_metrics")
+@register("stream_metrics", O.with_ctes(_EV.SCORED, _EV.PRED, final="SELECT prediction, count(*) AS count FROM pn GROUP BY prediction"))
 def q_stream_metrics(spark, sf):
     """Running counts per predicted class, complete mode, read back after the stream."""
     from flowlens.plans.queries_eval import predictions
