@@ -142,3 +142,36 @@ def q_stream_metrics(spark, sf):
     q.awaitTermination()
     # five rows at most (one per class)
     return spark.createDataFrame(spark.table(name).collect(), spark.table(name).schema)
+
+
+THREATS = """
+thr0 AS (
+  SELECT 'events' AS key, event_id AS window_idx, (epoch_us(ts) - 1704067200000000) / 1e6 AS time_start, prediction
+  FROM pn WHERE prediction <> 'Normal'
+),
+thr AS (SELECT *, row_number() OVER (ORDER BY time_start, window_idx) - 1 AS r FROM thr0),
+thn AS (
+  SELECT thr.*, (SELECT count(*) FROM thr t2 WHERE t2.time_start < thr.time_start + 3.0) AS nx,
+         (SELECT count(*) FROM thr) AS n
+  FROM thr
+),
+chain(r) AS (SELECT 0 UNION ALL SELECT thn.nx FROM thn JOIN chain ON thn.r = chain.r WHERE thn.nx < thn.n)"""
+
+
+def _threat_rows(spark, sf):
+    from flowlens.plans.queries_eval import predictions
+
+    return predictions(spark, sf).select(
+        F.lit("events").alias("key"), F.col("event_id").alias("window_idx"),
+        (F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)") / F.lit(1e6)).alias("time_start"),
+        "prediction")
+
+
+@register("alert_throttle", "WITH RECURSIVE " + O.with_ctes(_EV.SCORED, _EV.PRED, THREATS, final="""SELECT key, window_idx, time_start, prediction,
+    row_number() OVER (ORDER BY time_start, window_idx) AS alert_no FROM thn WHERE r IN (SELECT r FROM chain)""")[len("WITH "):],
+          ["time_start"])
+def q_alert_throttle(spark, sf):
+    """W7 batch: greedy 3-second alert throttle by pointer doubling (equals the X3 stream)."""
+    from flowlens.operators.throttle import alert_throttle
+
+    return alert_throttle(_threat_rows(spark, sf))
