@@ -13,6 +13,7 @@ from flowlens.operators.packet_features import packet_features
 from flowlens.operators.windows import window_features
 from flowlens.plans import oracle as O
 from flowlens.plans.registry import register
+from flowlens.session import materialize
 from flowlens.sources.packets import packets_from_events
 
 WINDOW_DOUBLES = O.WINDOW_DOUBLES
@@ -23,7 +24,9 @@ def clean(spark: SparkSession, sf_dir: str, length_policy: str = "zero") -> Data
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packet_features(clean(spark, sf_dir))
+    """Packet features written once: the rank boundaries, counts and the window job then
+    read them instead of recomputing scan, parse and the per-flow IAT."""
+    return materialize(packet_features(clean(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- windows
