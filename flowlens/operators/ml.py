@@ -163,16 +163,18 @@ def ensemble_proba(parts: Sequence[Column]) -> Column:
     return F.transform(acc, lambda x: x / k)
 
 
-def evaluate_scored(scored: DataFrame, kind: str) -> dict:
-    """Tune the decision rule on the scored test rows (reference default) and collect the
-    small evaluation tables. Returns plain Python values (bounded: per class / per grid)."""
+def evaluate_scored(scored: DataFrame, kind: str, tune: DataFrame | None = None) -> dict:
+    """Tune the decision rule on ``tune`` (default: the scored test rows, as the reference)
+    and collect the small evaluation tables of ``scored``. Returns plain Python values
+    (bounded: per class / per grid value)."""
+    tune = scored if tune is None else tune
     if kind == "score":
-        best = EV.tune_bias(scored, "Label", "score").first()
+        best = EV.tune_bias(tune, "Label", "score").first()
         rule = {"bias": float(best["b"]), "threshold": None}
         pred = D.decide_bias("score", rule["bias"])
         auc_col = "score"
     else:
-        best = EV.tune_threshold(scored, "Label", "proba").first()
+        best = EV.tune_threshold(tune, "Label", "proba").first()
         rule = {"threshold": float(best["t"]), "bias": None}
         pred = D.decide_threshold("proba", rule["threshold"])
         auc_col = "proba"
@@ -204,9 +206,11 @@ def importance_top(imp: DataFrame, k: int = 15) -> DataFrame:
     return imp.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
-def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble: bool = True) -> dict:
+def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble: bool = True,
+              tune_on: str = "test") -> dict:
     """M5-M10 + M14/M15 + M16-M20 + M24: fit every model on the train split, tune its rule
-    on the test split, evaluate. Returns {models, stats, results, comparison}."""
+    (on the test split as the reference does, or ``tune_on="train"``), evaluate on test.
+    Returns {models, stats, results}."""
     data, stats = prepare(windows)
     data = data.persist()
     train = data.where(F.col("split") == "train")
@@ -229,7 +233,8 @@ def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble:
         if present is not None:
             model = (model, present)
         scored = class_scores(model, kind, test)
-        ev = evaluate_scored(scored, "score" if kind == "score" else "proba")
+        tune = class_scores(model, kind, train) if tune_on == "train" else None
+        ev = evaluate_scored(scored, "score" if kind == "score" else "proba", tune)
         models[name] = (model, kind)
         results[name] = {**ev, "train_time": round(secs, 4), "fi": feature_importance(model, name)}
     if ensemble:

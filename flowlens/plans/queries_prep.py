@@ -45,6 +45,15 @@ def training_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(packet_features(downsample(timeline(spark, sf_dir))))
 
 
+def training_windows_plan(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """The public end-to-end plan (flowlens.plans.pipeline) on the adapted captures."""
+    from flowlens.plans.pipeline import build_training_windows
+
+    ev = read_table(spark, sf_dir, "events")
+    caps = capture_frames_from_events(ev)
+    return build_training_windows(caps, TEST_RULES, **kw)
+
+
 BASE = [O.PACKETS, O.CLEAN_ZERO]
 TIMELINE = BASE + [O.labeled_ctes()]
 
@@ -206,3 +215,9 @@ TRAIN_WINDOWS_SQL = sql(
 @register("training_windows", TRAIN_WINDOWS_SQL, O.WINDOW_DOUBLES)
 def q_training_windows(spark, sf):
     return window_features(training_packets(spark, sf))
+
+
+@register("training_windows_pipeline", TRAIN_WINDOWS_SQL, O.WINDOW_DOUBLES)
+def q_training_windows_pipeline(spark, sf):
+    """The same windows through the public plan function (its own checkpoints)."""
+    return training_windows_plan(spark, sf)
