@@ -57,9 +57,11 @@ def flow_id(source="source", destination="destination", dport="dst_port", proto=
 def time_label(t="time_start") -> Column:
     """HH:MM:SS (UTC) for epoch seconds, else seconds with two decimals and 's'."""
     c = _col(t)
-    return F.when(c > 1e8, F.date_format(F.timestamp_seconds(c), "HH:mm:ss")).otherwise(
-        F.concat(F.format_string("%.2f", c), F.lit("s"))
-    )
+    # clock time from epoch seconds by arithmetic: independent of the session time zone
+    secs = F.floor(c).cast("bigint")
+    hms = F.format_string("%02d:%02d:%02d", (F.floor(secs / 3600) % 24).cast("int"),
+                          (F.floor(secs / 60) % 60).cast("int"), (secs % 60).cast("int"))
+    return F.when(c > 1e8, hms).otherwise(F.concat(F.format_string("%.2f", c), F.lit("s")))
 
 
 def time_bin(t="global_time") -> Column:
