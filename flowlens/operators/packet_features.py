@@ -82,5 +82,5 @@ def packet_features(
     """F6 = F1..F4 + W1. ``iat_scope`` "flow" (reference: flows of different captures
     interleave on capture-local time) or "capture_flow"."""
     parsed = parse_packets(df)
-    part = ["flow_id"] if iat_scope == "flow" else ["capture", "flow_id"]
+    part = ["flow_id"] if iat_scope == "flow" else ["capture_ord" if "capture_ord" in df.columns else "capture", "flow_id"]
     return add_iat(parsed, part, skew_safe=skew_safe, num_buckets=num_buckets)

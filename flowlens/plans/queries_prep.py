@@ -221,3 +221,19 @@ def q_training_windows(spark, sf):
 def q_training_windows_pipeline(spark, sf):
     """The same windows through the public plan function (its own checkpoints)."""
     return training_windows_plan(spark, sf)
+
+
+@register("packet_features_capture_flow",
+          sql(*TIMELINE, O.feat_cte("timeline", "cf", iat_part="capture_ord, flow_id"),
+              final="SELECT no, capture_ord, flow_id, time, iat FROM cf"), ["time", "iat"])
+def q_packet_features_capture_flow(spark, sf):
+    """W1 with iat_scope="capture_flow": flows of different captures do not interleave."""
+    return packet_features(timeline(spark, sf), iat_scope="capture_flow").select("no", "capture_ord", "flow_id", "time", "iat")
+
+
+@register("packet_features_timeline",
+          sql(*TIMELINE, O.feat_cte("timeline", "tf"), final="SELECT no, capture_ord, flow_id, time, iat FROM tf"),
+          ["time", "iat"])
+def q_packet_features_timeline(spark, sf):
+    """W1 with the reference scope on the merged timeline (capture-local times interleave)."""
+    return packet_features(timeline(spark, sf)).select("no", "capture_ord", "flow_id", "time", "iat")
