@@ -31,7 +31,13 @@ BUCKET = "_bkt"
 
 
 def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Order buckets: ``flowlens.rank.buckets`` when set (size it so a bucket holds a few
+    million rows), else 4 x shuffle partitions. Any value gives the same ranks."""
+    conf = df.sparkSession.conf
+    explicit = conf.get("flowlens.rank.buckets", None)
+    if explicit:
+        return max(2, int(explicit))
+    n = int(conf.get("spark.sql.shuffle.partitions", "200"))
     return max(8, 4 * n)
 
 

@@ -59,3 +59,14 @@ def test_hot_flow_iat(spark):
     a = add_iat(df, skew_safe=False).select("no", "iat")
     b = add_iat(df, skew_safe=True, num_buckets=16).select("no", "iat")
     assert a.exceptAll(b).count() == 0
+
+
+def test_bucket_count_does_not_change_ranks(spark):
+    df = clean(spark, SF_SMALL).select("no", "time")
+    spark.conf.set("flowlens.rank.buckets", "3")
+    try:
+        a = packet_rank(df).select("no", "rank")
+    finally:
+        spark.conf.unset("flowlens.rank.buckets")
+    b = packet_rank(df, num_buckets=64).select("no", "rank")
+    assert a.exceptAll(b).count() == 0
