@@ -13,8 +13,9 @@ from flowlens.operators.rank import packet_rank
 from flowlens.plans import oracle as O
 from flowlens.plans.queries_prep import clean, timeline
 from flowlens.plans import queries_eval as _EV
+from flowlens.plans import queries_prep as _PREP
 from flowlens.plans.registry import register
-from flowlens.session import shared_path
+from flowlens.session import materialize, shared_path
 from flowlens.streaming import streams as X
 
 FLOWS = f"""
@@ -68,6 +69,25 @@ def _write_in_order(df, base, order_col, slices=4):
     return df.schema
 
 
+def _stream_in_order(spark, df, order_col, build, name, slices=4, mode="append"):
+    """Replay ``df`` as files arriving in time order: slice k is written (in parallel), then
+    the streaming query runs over everything available and stops; the next slice restarts
+    it from its checkpoint. Each micro-batch is one slice (bounded), order across batches
+    is guaranteed, and every restart exercises recovery from the checkpoint."""
+    from pyspark.sql import Window  # noqa: F401
+
+    base, out, ck = _scratch(spark, f"{name}-in"), _scratch(spark, f"{name}-out"), _scratch(spark, f"{name}-ck")
+    r = packet_rank(df.withColumn("_tb", F.xxhash64(*df.columns)), order_by=(order_col, "_tb"), rank_col="_r",
+                    total_col="_n")
+    sliced = r.withColumn("_slice", (F.floor(F.col("_r") * slices / F.col("_n")) + 1).cast("int")).drop("_r", "_n", "_tb")
+    sliced = materialize(sliced)
+    for i in range(1, slices + 1):
+        sliced.where(F.col("_slice") == i).drop("_slice").write.parquet(os.path.join(base, f"part_{i:03d}"))
+        src = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(base)
+        X.run_to_table(build(src), out, ck, mode)
+    return spark.read.parquet(out)
+
+
 def _stream_source(spark, base, schema):
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
             .parquet(base))
@@ -80,11 +100,8 @@ def q_stream_windows(spark, sf):
     """Streaming count windows over the packets arriving as time-ordered files; equals the
     batch windows (tests/test_streaming.py)."""
     parsed = parse_packets(clean(spark, sf)).withColumn("capture", F.lit("all"))
-    base = _scratch(spark, "x1-in")
-    schema = _write_in_order(parsed, base, "time")
-    out, ck = _scratch(spark, "x1-out"), _scratch(spark, "x1-ck")
-    X.run_to_table(X.stream_count_windows(_stream_source(spark, base, schema), key="capture"), out, ck)
-    return spark.read.parquet(out).drop("key")
+    res = _stream_in_order(spark, parsed, "time", lambda src: X.stream_count_windows(src, key="capture"), "x1")
+    return res.drop("key")
 
 
 @register("stream_alerts")
@@ -96,22 +113,21 @@ def q_stream_alerts(spark, sf):
         F.lit("events").alias("key"), F.col("event_id").alias("window_idx"),
         F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").cast("double").__truediv__(1e6)
         .alias("time_start"), "prediction", "confidence")
-    base = _scratch(spark, "x3-in")
-    schema = _write_in_order(p, base, "time_start")
-    out, ck = _scratch(spark, "x3-out"), _scratch(spark, "x3-ck")
-    X.run_to_table(X.stream_alerts(_stream_source(spark, base, schema)), out, ck)
-    return spark.read.parquet(out)
+    return _stream_in_order(spark, p, "time_start", X.stream_alerts, "x3")
 
 
-@register("stream_packet_rate")
+@register("stream_packet_rate", O.with_ctes(*_PREP.TIMELINE, final="""SELECT * FROM (
+      SELECT CAST(floor(global_time) AS BIGINT) AS second, label, count(*) AS packets,
+             count(DISTINCT source) AS n_src_approx
+      FROM timeline GROUP BY 1, 2) AS g
+    WHERE second + 1 <= floor((SELECT max(global_time) FROM timeline)) - 10"""))
 def q_stream_packet_rate(spark, sf):
-    """1-second tumbling windows with a watermark over the labelled timeline stream."""
+    """1-second tumbling windows with a 10 s watermark over the labelled timeline stream,
+    files in time order: every window ending at or before the final watermark is emitted."""
     t = timeline(spark, sf).select("no", "global_time", "source", "label")
-    base = _scratch(spark, "x5-in")
-    schema = _write_in_order(t, base, "global_time")
-    out, ck = _scratch(spark, "x5-out"), _scratch(spark, "x5-ck")
-    X.run_to_table(X.stream_packet_rate(_stream_source(spark, base, schema)), out, ck)
-    return spark.read.parquet(out)
+    res = _stream_in_order(spark, t, "global_time", X.stream_packet_rate, "x5")
+    return res.select(F.unix_seconds("second_start").alias("second"), "label", "packets",
+                                          "n_src_approx")
 
 
 @register("stream_flow_stats", O.with_ctes(O.PACKETS, O.CLEAN_ZERO, O.feat_cte(), FLOWS, final="SELECT * FROM fs"),
@@ -120,11 +136,7 @@ def q_stream_packet_rate(spark, sf):
 def q_stream_flow_stats(spark, sf):
     """Flow statistics over a stream of flow-counter entries (stateless, file sink)."""
     e = flows(spark, sf)
-    base = _scratch(spark, "x6-in")
-    schema = _write_in_order(e, base, "reply_id")
-    out, ck = _scratch(spark, "x6-out"), _scratch(spark, "x6-ck")
-    X.run_to_table(X.stream_flow_stats(_stream_source(spark, base, schema)), out, ck)
-    return spark.read.parquet(out)
+    return _stream_in_order(spark, e, "reply_id", X.stream_flow_stats, "x6")
 
 
 @register("stream_metrics", O.with_ctes(_EV.SCORED, _EV.PRED, final="SELECT prediction, count(*) AS count FROM pn GROUP BY prediction"))
