@@ -101,7 +101,7 @@ def q_stream_windows(spark, sf):
     batch windows (tests/test_streaming.py)."""
     parsed = parse_packets(clean(spark, sf)).withColumn("capture", F.lit("all"))
     res = _stream_in_order(spark, parsed, "time", lambda src: X.stream_count_windows(src, key="capture"), "x1")
-    return res.drop("key")
+    return res.drop("key", "late_dropped")
 
 
 @register("stream_alerts")
