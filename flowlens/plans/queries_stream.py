@@ -43,6 +43,21 @@ fs AS (
 )"""
 
 
+STREAM_THREATS = """
+thr0 AS (
+  SELECT 'events' AS key, event_id AS window_idx, (epoch_us(ts) - 1704067200000000) / 1e6 AS time_start, prediction,
+         confidence
+  FROM pn WHERE prediction <> 'Normal'
+),
+thr AS (SELECT *, row_number() OVER (ORDER BY time_start, window_idx) - 1 AS r FROM thr0),
+thn AS (
+  SELECT thr.*, (SELECT count(*) FROM thr t2 WHERE t2.time_start < thr.time_start + 3.0) AS nx,
+         (SELECT count(*) FROM thr) AS n
+  FROM thr
+),
+chain(r) AS (SELECT 0 UNION ALL SELECT thn.nx FROM thn JOIN chain ON thn.r = chain.r WHERE thn.nx < thn.n)"""
+
+
 def flows(spark, sf):
     return flows_from_packets(parse_packets(clean(spark, sf)))
 
@@ -104,7 +119,9 @@ def q_stream_windows(spark, sf):
     return res.drop("key", "late_dropped")
 
 
-@register("stream_alerts")
+@register("stream_alerts", "WITH RECURSIVE " + O.with_ctes(_EV.SCORED, _EV.PRED, STREAM_THREATS, final="""SELECT key,
+    window_idx, time_start, prediction, confidence, row_number() OVER (ORDER BY time_start, window_idx) AS alert_no
+    FROM thn WHERE r IN (SELECT r FROM chain)""")[len("WITH "):], ["time_start", "confidence"])
 def q_stream_alerts(spark, sf):
     """Throttled alerts over the scored events stream (3 s of event time per key)."""
     from flowlens.plans.queries_eval import predictions
