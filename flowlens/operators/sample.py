@@ -57,30 +57,36 @@ def sample_series(windows: DataFrame, n: int = 500, seed: int = RANDOM_SEED) ->
 def bootstrap_class_dist(
     windows: DataFrame, n_boot: int = 200, frac: float = 0.5, seed: int = RANDOM_SEED, label_col: str = "Label"
 ) -> DataFrame:
-    """Class shares in ``n_boot`` resamples of ``frac*n`` rows drawn with replacement.
-
-    A draw picks a uniform row index; the class owning that index comes from the
-    cumulative class counts (one row per class: bounded, broadcast). The draws are
-    generated by ``range`` in parallel, so no resample is materialised row by row.
+    """Class shares in ``n_boot`` resamples of ``floor(frac*n)`` rows drawn with replacement.
+
+    The class counts of one resample are exactly Multinomial(k, class shares), so each
+    resample is one multinomial draw from the per-class counts (one aggregate over the
+    windows, one row per class) instead of k row draws: O(n) work instead of
+    O(n_boot * n). The draws run in Spark tasks (one row per resample); the class
+    counts are a bounded table shipped with the task.
+    Output: rep, <label>, share (classes absent from a resample are listed with 0).
     """
-    counts = windows.groupBy(label_col).agg(F.count(F.lit(1)).alias("c"))
-    cum = counts.select(
-        label_col, "c",
-        F.sum("c").over(_w_all(label_col)).alias("hi"),
-    ).withColumn("lo", F.col("hi") - F.col("c"))
-    total = counts.agg(F.sum("c").alias("n"))
-    spark = windows.sparkSession
-    # the resample size fixes the number of draws, so it is read once (one scalar)
-    n = int(total.first()["n"] or 0)
+    import numpy as np
+    import pandas as pd
+
+    counts = sorted((r[0], r[1]) for r in windows.groupBy(label_col).agg(F.count(F.lit(1))).collect())
+    labels = [c[0] for c in counts]
+    n = sum(c[1] for c in counts)
     k = int(n * frac)
-    # one row per (resample, draw): rep = id div k, uniform index in [0, n)
-    draws = spark.range(0, n_boot * k).select(
-        (F.col("id") / F.lit(max(k, 1))).cast("bigint").alias("rep"),
-        F.floor(F.rand(seed) * F.lit(n)).cast("bigint").alias("ix"),
-    )
-    lab = draws.join(F.broadcast(cum), (F.col("ix") >= F.col("lo")) & (F.col("ix") < F.col("hi")))
-    per = lab.groupBy("rep", label_col).agg(F.count(F.lit(1)).alias("cnt"))
-    return per.select("rep", label_col, (F.col("cnt") / F.lit(float(max(k, 1)))).alias("share"))
+    p = np.array([c[1] for c in counts], dtype=float) / max(n, 1)
+
+    def draw(batches):
+        for pdf in batches:
+            rows = []
+            for rep in pdf["id"]:
+                rng = np.random.default_rng([seed, int(rep)])
+                got = rng.multinomial(k, p) if k > 0 else np.zeros(len(p), dtype=int)
+                rows += [(int(rep), lab, float(c) / max(k, 1)) for lab, c in zip(labels, got)]
+            yield pd.DataFrame(rows, columns=["rep", label_col, "share"])
+
+    spark = windows.sparkSession
+    schema = f"rep bigint, {label_col} int, share double"
+    return spark.range(0, n_boot, numPartitions=max(1, min(n_boot, spark.sparkContext.defaultParallelism))).mapInPandas(draw, schema)
 
 
 def _w_all(label_col: str):

@@ -70,3 +70,17 @@ def test_bucket_count_does_not_change_ranks(spark):
         spark.conf.unset("flowlens.rank.buckets")
     b = packet_rank(df, num_buckets=64).select("no", "rank")
     assert a.exceptAll(b).count() == 0
+
+
+def test_bootstrap_shares(spark):
+    from flowlens.operators.sample import bootstrap_class_dist
+
+    rows = [(i, i % 4 if i % 10 else 4) for i in range(1000)]
+    w = spark.createDataFrame(rows, "window_idx bigint, Label int")
+    b = bootstrap_class_dist(w).toPandas()
+    assert b["rep"].nunique() == 200
+    assert (b.groupby("rep")["share"].sum().round(9) == 1.0).all()
+    mean = b.groupby("Label")["share"].mean()
+    labels = [r[1] for r in rows]
+    for lab in set(labels):
+        assert abs(mean[lab] - labels.count(lab) / len(labels)) < 0.01
