@@ -51,7 +51,8 @@ def downsample(
 def sample_series(windows: DataFrame, n: int = 500, seed: int = RANDOM_SEED) -> DataFrame:
     """D3: at most ``n`` windows in seeded-hash order (top-k, no full sort), by time_start."""
     picked = windows.withColumn("_h", portable_hash("window_idx", seed)).orderBy("_h", "window_idx").limit(n)
-    return picked.drop("_h")
+    # at most n rows: the final time sort is small
+    return picked.drop("_h").orderBy("time_start", "window_idx")
 
 
 def bootstrap_class_dist(

@@ -77,7 +77,7 @@ def summary_hists(windows: DataFrame, label: str = "Label", feats=SUMMARY_HIST_F
 def summary_series(windows: DataFrame, label: str = "Label", n: int = SUMMARY_SAMPLE) -> DataFrame:
     """<= 500 sampled windows (D3) with rounded values and class name."""
     s = sample_series(windows.select("window_idx", "time_start", "pkt_rate", "syn_ratio", label).dropna(), n)
-    return s.select(
+    return s.orderBy("time_start", "window_idx").select(
         "window_idx",
         F.bround("time_start", 3).alias("t"),
         F.bround("pkt_rate", 2).alias("pkt_rate"),
