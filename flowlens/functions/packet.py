@@ -61,7 +61,9 @@ def time_label(t="time_start") -> Column:
     secs = F.floor(c).cast("bigint")
     hms = F.format_string("%02d:%02d:%02d", (F.floor(secs / 3600) % 24).cast("int"),
                           (F.floor(secs / 60) % 60).cast("int"), (secs % 60).cast("int"))
-    return F.when(c > 1e8, hms).otherwise(F.concat(F.format_string("%.2f", c), F.lit("s")))
+    # format_number rounds the exact binary value (as Python's "%.2f"); format_string does not
+    rel = F.regexp_replace(F.format_number(c, 2), ",", "")
+    return F.when(c > 1e8, hms).otherwise(F.concat(rel, F.lit("s")))
 
 
 def time_bin(t="global_time") -> Column:
