@@ -92,3 +92,11 @@ def exact_avg(c) -> Column:
     partitioned or combined (float sums of values near 1e11 do)."""
     x = _col(c)
     return F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)
+
+
+def np_round(c, digits: int) -> Column:
+    """numpy's ``round``/pandas ``.round``: rint(x * 10^d) / 10^d (half-even on the scaled
+    double). Spark's ``bround`` rounds the shortest decimal form instead (2.675 -> 2.68,
+    numpy 2.67)."""
+    scale = float(10 ** digits)
+    return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)

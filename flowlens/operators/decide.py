@@ -67,6 +67,8 @@ def prediction_name(pred) -> Column:
 
 
 def proba_columns(df: DataFrame, p: str = "proba", digits: int = 4) -> DataFrame:
-    """``proba_<Class>`` columns rounded half-even to 4 decimals."""
-    cols = [F.bround(F.col(p)[i], digits).alias(f"proba_{name}") for i, name in sorted(CLASS_NAMES.items())]
+    """``proba_<Class>`` columns rounded to 4 decimals (numpy rounding)."""
+    from flowlens.functions.packet import np_round
+
+    cols = [np_round(F.col(p)[i], digits).alias(f"proba_{name}") for i, name in sorted(CLASS_NAMES.items())]
     return df.select("*", *cols)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.constants import FEATURE_COLS
-from flowlens.functions.packet import class_name, clip, time_bin
+from flowlens.functions.packet import class_name, clip, np_round, time_bin
 from flowlens.operators.rank import packet_rank
 
 
@@ -215,14 +215,13 @@ def label_leakage(windows: DataFrame, k: int = 10, threshold: float = 0.85) -> D
 
 
 def describe_by_class(windows: DataFrame, feats=DESCRIBE_FEATURES, label: str = "Label") -> DataFrame:
-    """Mean, sample std, min, max (3 decimals, half-even) of key features per class."""
+    """Mean, sample std, min, max (3 decimals, numpy rounding) of key features per class."""
     melted = windows.select(
         label, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in feats]))
         .alias("m")).select(label, "m.feature", "m.v")
-    return melted.groupBy(label, "feature").agg(
-        F.bround(F.avg("v"), 3).alias("mean"),
-        F.bround(F.stddev_samp("v"), 3).alias("std"),
-        F.bround(F.min("v"), 3).alias("min"),
-        F.bround(F.max("v"), 3).alias("max"),
+    g = melted.groupBy(label, "feature").agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.count(F.lit(1)).alias("n"),
     )
+    # pandas .round(3): numpy rounding
+    return g.select(label, "feature", *[np_round(c, 3).alias(c) for c in ("mean", "std", "min", "max")], "n")

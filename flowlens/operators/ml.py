@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from flowlens.constants import CLASS_NAMES, FEATURE_COLS, RANDOM_SEED, STEP_SIZE, TRAIN_FRACTION, WINDOW_SIZE
 from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
+from flowlens.functions.packet import np_round
 from flowlens.operators.rank import packet_rank
 
 LABEL = "Label"
@@ -361,12 +362,12 @@ def score_windows(bundle: dict, windows: DataFrame, model_name: str | None = Non
     if kind == "score":
         pred = D.argmax("score") if rule == "argmax" else D.decide_bias("score", m["bias"] or 0.0)
         conf = D.confidence_abs_max("score")
-        out = scored.withColumn("pred", pred).withColumn("confidence", F.bround(conf, 4))
+        out = scored.withColumn("pred", pred).withColumn("confidence", np_round(conf, 4))
     else:
         pred = D.argmax("proba") if rule == "argmax" else D.decide_threshold("proba", m["threshold"] or 0.5)
         out = scored.withColumn("pred", pred)
         conf = F.array_max("proba") if rule == "argmax" else D.confidence_chosen("proba", "pred")
-        out = D.proba_columns(out.withColumn("confidence", F.bround(conf, 4)), "proba")
+        out = D.proba_columns(out.withColumn("confidence", np_round(conf, 4)), "proba")
     keep = [c for c in ["window_idx", "time_start", "time_end", "rep_src_ip", "rep_dst_ip", "rep_dst_port",
                         "pkt_count", "byte_total", "flow_duration", "Label"] if c in windows.columns]
     probas = [c for c in out.columns if c.startswith("proba_")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.constants import CLASS_NAMES
+from flowlens.functions.packet import np_round
 from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
 from flowlens.operators import replay as R
@@ -83,8 +84,8 @@ def q_decide_argmax(spark, sf):
 def q_prediction_table(spark, sf):
     s = scored(spark, sf).withColumn("pred", D.decide_threshold("proba", 0.5))
     out = s.select("event_id", "pred", "proba", D.prediction_name("pred").alias("prediction"),
-                   F.bround(D.confidence_chosen("proba", "pred"), 4).alias("confidence"),
-                   F.bround(D.confidence_abs_max("score"), 4).alias("score_confidence"))
+                   np_round(D.confidence_chosen("proba", "pred"), 4).alias("confidence"),
+                   np_round(D.confidence_abs_max("score"), 4).alias("score_confidence"))
     return D.proba_columns(out, "proba").drop("proba")
 
 
