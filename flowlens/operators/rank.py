@@ -115,9 +115,6 @@ def packet_rank(
     return joined.withColumn(rank_col, (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint")).drop(BUCKET, "_off")
 
 
-def order_key(primary: str, tiebreak: str) -> list[Column]:
-    return [F.col(primary), F.col(tiebreak)]
-
 
 def running_sums(
     df: DataFrame,

@@ -130,23 +130,6 @@ def packets_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_packets(read_table(spark, sf_dir, "events"))
 
 
-def capture_frames(packets: DataFrame) -> list[tuple[str, DataFrame]]:
-    """Split the adapted packets into the four named captures, capture-local time."""
-    from flowlens.constants import CAPTURE_ORDER
-
-    out = []
-    for i, name in enumerate(CAPTURE_ORDER):
-        out.append(
-            (
-                name,
-                packets.where(F.col("capture") == i)
-                .drop("time", "capture")
-                .withColumnRenamed("local_time", "time"),
-            )
-        )
-    return out
-
-
 def capture_frames_from_events(events: DataFrame, clean=None) -> list[tuple[str, DataFrame]]:
     """The four captures of the adapter, each scanning only its own time range.
 
