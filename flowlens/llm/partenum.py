@@ -49,6 +49,8 @@ FILTER_BITS = 1 << 22
 SLOTS = 1 << 24
 #: a signature group of more sets is large: its members sign again
 LARGE = 16
+#: most ids that are broadcast to the documents
+BROADCAST_IDS = 200_000
 #: sets of a block when a family is compared block by block
 BLOCK = 192
 
@@ -501,9 +503,16 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     that id, one). Texts without a word and rows without an id are kept: they link with nothing.
     """
     cls = jaccard_classes(docs, n, num, den)
-    drop = cut(cls.where("doc_id <> component_id").select("doc_id").distinct())
+    drop = _small(cut(cls.where("doc_id <> component_id").select("doc_id").distinct()))
+    twice = cut(cls.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"))
     kept = docs.join(drop, "doc_id", "left_anti")
-    twice = cut(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n4")).where("_n4 > 1 and doc_id is not null").select("doc_id"))
-    single = kept.join(twice, "doc_id", "left_anti")
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again).select(*docs.columns)
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    few = _small(twice)
+    again = kept.join(few, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(few, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """A table of ids, to be broadcast when its count allows it (else Spark joins by shuffle)."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
