@@ -12,9 +12,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder once and cut its lineage there."""
+#: rows of narrow tables that one partition of a written table holds easily
+ROWS_PER_PART = 50_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder once and cut its lineage there.
+
+    ``rows`` (a known bound) keeps the file count of a small table in proportion to its rows.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_PART)))
     return df.checkpoint(eager=True)
 
 
@@ -30,20 +39,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     state = _fingerprint(e)
+    n = state[0]  # no later table has more than twice as many rows
     for _ in range(max_rounds):
         if state[0] == 0:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = cut(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m")))
+        m = cut(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m")), n)
         large = cut(
-            both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), n
         )
-        m = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        m = cut(large.groupBy("u").agg(F.min("v").alias("m")), n)
         joined = large.join(m, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             m.select("u", F.col("m").alias("v"))
         )
-        e = cut(small.distinct())
+        e = cut(small.distinct(), n)
         new = _fingerprint(e)
         if new == state:
             break

@@ -51,8 +51,10 @@ SLOTS = 1 << 24
 LARGE = 16
 #: most ids that are broadcast to the documents
 BROADCAST_IDS = 200_000
+#: bits of a set's odd sketch
+SKETCH = 1024
 #: sets of a block when a family is compared block by block
-BLOCK = 192
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -374,7 +376,7 @@ def family_links(sets: DataFrame, family: DataFrame, num: int, den: int) -> Data
     spread = member.select(
         "cls", "family", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("cls", "block", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = member.select("cls").join(sets, "cls").join(spread, "cls")
+    rows = sets.select("cls", "items").join(spread, "cls")
     return cut(
         rows.select("family", "i", "j", "block", "cls", "items").groupBy("family", "i", "j")
         .applyInArrow(_block_links(num, den), "a bigint, b bigint")
@@ -390,6 +392,31 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(count)], names=["slot", "c"])
 
 
+def _sketches(sh: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """Odd sketches: every element toggles one of SKETCH bits. Two sets differ in at least as many
+    elements as their sketches differ in bits."""
+    n = len(ptr) - 1
+    bit = np.repeat(np.arange(n), np.diff(ptr)) * SKETCH + (tb.splitmix(sh ^ _U(0x0DD)) % _U(SKETCH)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=n * SKETCH) & 1).astype(np.uint8).reshape(n, SKETCH)
+    return np.packbits(odd, axis=1)
+
+
+def _may_link(num: int, den: int):
+    """Drops pairs whose sketches differ in more bits than similar sets of their sizes can in elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("a_sketch", "b_sketch"))
+            bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            size = np.asarray(b.column("a_n")) + np.asarray(b.column("b_n"))
+            pick = pa.array(np.flatnonzero(bits * (den + num) <= (den - num) * size))
+            yield pa.RecordBatch.from_arrays([b.column("a").take(pick), b.column("b").take(pick)], names=["a", "b"])
+
+    return run
+
+
 def _sets(n: int, filter_bits):
     bits = filter_bits
 
@@ -402,17 +429,21 @@ def _sets(n: int, filter_bits):
                 size, cls = np.diff(ptr), set_hash(sh, ptr)
                 slot = (cls % _U(FILTER_BITS)).astype(np.int64)
                 ok = (size > 0) & ((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
-                out_c, out_s = [], []
+                toggled = _sketches(sh, ptr)
+                out_c, out_s, out_n, out_t = [], [], [], []
                 for i in np.flatnonzero(ok):
                     c = int(cls[i])
                     if c not in seen:
                         seen.add(c)
                         out_c.append(c)
                         out_s.append(sh[ptr[i] : ptr[i + 1]].tobytes())
+                        out_n.append(int(size[i]))
+                        out_t.append(toggled[i].tobytes())
                 if out_c:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.array(out_c, dtype=np.uint64).view(np.int64)), pa.array(out_s, pa.binary())],
-                        names=["cls", "items"])
+                        [pa.array(np.array(out_c, dtype=np.uint64).view(np.int64)), pa.array(out_n, pa.int64()),
+                         pa.array(out_t, pa.binary()), pa.array(out_s, pa.binary())],
+                        names=["cls", "n", "sketch", "items"])
 
     return run
 
@@ -444,7 +475,11 @@ def _bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
 
 
 def _links(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Of (a, b) class pairs those whose sets are similar enough."""
+    """Of (a, b) class pairs those whose sets are similar enough: sketches first, then the sets."""
+    short = sets.select("cls", "n", "sketch")
+    near = pairs.join(short.select(*[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "b_n"), ("sketch", "b_sketch"))]), "b").join(
+        short.select(*[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "a_n"), ("sketch", "a_sketch"))]), "a")
+    pairs = cut(near.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(_may_link(num, den), "a bigint, b bigint"))
     one = pairs.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("b_items")), "b")
     two = one.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("a_items")), "a")
     return cut(two.select("a", "b", "a_items", "b_items").mapInArrow(_verify(num, den), "a bigint, b bigint"))
@@ -472,7 +507,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(large)
     slot = F.col("cls").bitwiseAND(F.lit(FILTER_BITS - 1))
     wanted = sc.broadcast(_bitmap(ids.select(slot.alias("s")).distinct(), "s", FILTER_BITS))
-    sets = cut(texts.mapInArrow(_sets(n, wanted), "cls bigint, items binary").dropDuplicates(["cls"]))
+    sets = cut(texts.mapInArrow(_sets(n, wanted), "cls bigint, n bigint, sketch binary, items binary").dropDuplicates(["cls"]))
 
     # members of large groups: sign again on the shingles that are rare among them
     crowd = sets.join(large, "cls", "left_semi")
