@@ -41,10 +41,13 @@ SAMPLES = 2
 SEED = 17
 SPACE = 0x2581
 RAW_SPACE = 0x110000  # a U+2581 of the text itself: no piece has it
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15 | 1)
 NONE, PREFIX, BYTES = -3, -1, -2
+#: a uniform has 53 bits, so a Gumbel is at most 38 above its location
+REACH = 38.0
+MARGIN = 120.0
 
 
 @dataclass
@@ -124,17 +127,34 @@ def _uniform(*parts) -> np.ndarray:
 
 
 class _Lattice:
-    """The lattices of a block's distinct words: probabilities of edges given their node."""
+    """The lattices of a block's distinct words: probabilities of edges given their node.
+
+    Words are ranked by falling length and nodes are numbered by the characters that remain (r) and
+    then by rank: node = base[r] + rank. The nodes with r left are one slice, and so are their
+    successors by any edge length, so the backward sums run over slices of plain arrays. Sums
+    are kept in proportion only (rescaled now and then), which is all that edge probabilities need.
+    """
 
     def __init__(self, voc: Vocabulary, sym: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         size = ends - starts
-        self.first = np.r_[0, np.cumsum(size)]
-        total = int(self.first[-1])
-        where = np.arange(total) - np.repeat(self.first[:-1] - starts, size)
-        self.sym = sym[where]
-        left = np.repeat(self.first[1:], size) - np.arange(total)  # characters to the word's end
-        self.left = left
+        n = len(size)
+        order = np.argsort(-size, kind="stable")
+        self.rank = np.empty(n, dtype=np.int64)
+        self.rank[order] = np.arange(n)
+        self.size = size
+        top = int(size.max(initial=0))
+        count = np.searchsorted(-size[order], -np.arange(1, top + 1), side="right")
+        total = int(size.sum())
+        self.base = np.r_[total, 0, np.cumsum(count)]  # base[0]: the ends
+        first = np.r_[0, np.cumsum(size)]
+        flat = sym[np.arange(total) - np.repeat(first[:-1] - starts, size)]
+        left = np.repeat(first[1:], size) - np.arange(total)
+        node = self.base[left] + np.repeat(self.rank, size)
+        self.sym = np.empty(total, dtype=flat.dtype)
+        self.sym[node] = flat
+        self.left = np.repeat(np.arange(1, top + 1), count)
         live, h = np.arange(total), np.zeros(total, dtype=np.uint64)
+        flat = flat.astype(np.uint64) + _U(1)
         found = []
         with np.errstate(over="ignore"):
             for j in range(voc.longest):
@@ -142,59 +162,55 @@ class _Lattice:
                 live, h = live[ok], h[ok]
                 if not len(live):
                     break
-                h = h * _MUL + self.sym[live + j].astype(np.uint64) + _U(1)
+                h = h * _MUL + flat[live + j]
                 got = voc.find(h)
                 hit = got >= 0
-                found.append((live[hit], got[hit]))
+                found.append((node[live[hit]], got[hit]))
                 more = got != NONE
                 live, h = live[more], h[more]
         while len(found) > 1 and not len(found[-1][0]):
             found.pop()
         longest = max(1, len(found))  # no wider than the longest piece that occurs
-        w = np.full((total, longest), -np.inf)
-        self.id = np.full((total, longest), NONE, dtype=np.int32)
+        self.p = np.zeros((longest, total))
+        self.id = np.full((longest, total), NONE, dtype=np.int32)
+        plain = np.exp(voc.weight)
         for j, (at, got) in enumerate(found):
-            self.id[at, j] = got
-            w[at, j] = voc.weight[got]
-        lone = np.flatnonzero(self.id[:, 0] < 0)  # no piece for the character: its bytes
+            self.id[j, at] = got
+            self.p[j, at] = plain[got]
+        lone = np.flatnonzero(self.id[0] < 0)  # no piece for the character: its bytes
         cp = self.sym[lone]
         cp = np.where(cp == RAW_SPACE, SPACE, cp)
-        self.id[lone, 0] = BYTES
-        w[lone, 0] = voc.weight[3 : 259].max() * (1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF))
-        beta = np.zeros(total + longest)
-        order = np.argsort(left, kind="stable")
-        bound = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
-        self.logp = w
-        cdf = np.ones((longest, total), dtype=np.float32)  # a row per edge length
-        for r in range(1, len(bound)):
-            at = order[bound[r - 1] : bound[r]]
-            if not len(at):
-                continue
+        self.id[0, lone] = BYTES
+        self.p[0, lone] = plain[3:259].max() ** (1.0 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF))
+        self.cdf = np.ones((longest, total), dtype=np.float32)
+        beta = np.ones(total + n)
+        for r in range(1, top + 1):
+            k, lo = int(count[r - 1]), int(self.base[r])
+            acc = np.zeros(k)
             m = min(r, longest)
-            to = beta[at[:, None] + np.arange(1, m + 1)]
-            if m == r:
-                to[:, r - 1] = 0.0
-            x = w[at, :m]
-            x += to
-            top = x.max(axis=1)
-            e = np.exp(x - top[:, None])
-            c = np.cumsum(e, axis=1)
-            b = np.log(c[:, -1])
             for j in range(m):
-                cdf[j, at] = c[:, j] / c[:, -1]
-            b += top
-            beta[at] = b
-            w[at, :m] = x - b[:, None]
-        self.cdf = cdf
-
-
-def _choose(lat: _Lattice, pos: np.ndarray, u: np.ndarray) -> np.ndarray:
+                x = self.p[j, lo : lo + k]
+                to = int(self.base[r - 1 - j])
+                x *= beta[to : to + k]
+                acc += x
+                self.cdf[j, lo : lo + k] = acc
+            self.p[:m, lo : lo + k] /= acc
+            c = self.cdf[:m, lo : lo + k]
+            c /= acc
+            c[c > 0.9999998] = 1  # rounding must leave no gap above the last possible edge
+            beta[lo : lo + k] = acc
+            if r % 8 == 0:
+                for j in range(min(r, longest) + 1):
+                    to = int(self.base[r - j])
+                    beta[to : to + k] /= acc
+
+
+def _choose(lat: _Lattice, node: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Edge (length - 1) from each node by inverse distribution function."""
-    u = u.astype(np.float32)
-    e = np.zeros(len(pos), dtype=np.int64)
-    live = np.arange(len(pos))
+    e = np.zeros(len(node), dtype=np.int64)
+    live = np.arange(len(node))
     for column in lat.cdf[:-1]:
-        live = live[column[pos[live]] < u[live]]
+        live = live[column[node[live]] < u[live]]
         if not len(live):
             break
         e[live] += 1
@@ -210,29 +226,30 @@ def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 class _Paths:
     """Steps of one path per text, all texts of a block: arrays sorted by text and step."""
 
-    def __init__(self, token, pos, edge, phi, rest, n_docs, doc):
+    def __init__(self, token, pos, edge, phi, rest, lost, doc, start):
         self.token, self.pos, self.edge, self.phi, self.rest, self.doc = token, pos, edge, phi, rest, doc
-        self.start = np.searchsorted(doc, np.arange(n_docs + 1))
+        self.lost, self.start = lost, start  # lost: bound of the log masses of nodes left out
 
 
-def _walk(lat, tok_seg, token, pos, key, path, first_edge):
-    """Run each word from its node to its end. ``first_edge``: a given first edge or -1."""
-    n = len(token)
+def _walk(lat, seg, left, key, path, first_edge):
+    """Run each word (its lattice ``seg``) from the node with ``left`` characters to its end.
+    ``first_edge``: a given first edge or -1."""
+    n = len(seg)
     steps = []
-    live = np.arange(n)
-    while len(live):
-        u = _uniform(key[live], _U(path), token[live].astype(np.uint64), pos[live].astype(np.uint64) - lat.first[tok_seg[token[live]]].astype(np.uint64))
-        e = _choose(lat, pos[live], u)
-        if first_edge is not None:
-            given = first_edge[live]
-            e = np.where(given >= 0, given, e)
-            first_edge = None
-        steps.append((live, pos[live], e))
-        nxt = pos[live] + e + 1
-        go = nxt < lat.first[tok_seg[token[live]] + 1]
-        pos = pos.copy()
-        pos[live] = nxt
-        live = live[go]
+    live, rank = np.arange(n), lat.rank[seg]
+    with np.errstate(over="ignore"):
+        key = key + _U(path) * _U(0xC2B2AE3D27D4EB4F)
+        while len(live):
+            pos = lat.base[left] + rank
+            h = tb.splitmix(key + left.astype(np.uint64) * _MUL)
+            e = _choose(lat, pos, ((h >> _U(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))
+            if first_edge is not None:
+                e = np.where(first_edge >= 0, first_edge, e)
+                first_edge = None
+            steps.append((live, pos, e))
+            left = left - e - 1
+            go = np.flatnonzero(left)
+            live, left, key, rank = live[go], left[go], key[go], rank[go]
     if not steps:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
@@ -261,7 +278,20 @@ def _cumulated(logp: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return c[:-1] - c[start][doc]
 
 
-def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray, k: int, seed: int):
+class _TooNarrow(Exception):
+    """A node that was left out might have carried one of the values."""
+
+
+def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray, k: int, seed: int) -> list:
+    """All of ``_sample``. Nodes whose log mass is ``MARGIN`` below their path's start cannot win
+    unless the values found fall that low, which is checked; then all nodes are looked at."""
+    try:
+        return list(_sample(voc, data, offs, key, k, seed, MARGIN))
+    except _TooNarrow:
+        return list(_sample(voc, data, offs, key, k, seed, np.inf))
+
+
+def _sample(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray, k: int, seed: int, margin: float):
     """Yields (path number, per-text validity, log probability, value, ids, offsets of texts in ids); and
     at the end kappa per text as (None, kappa)."""
     n_docs = len(offs) - 1
@@ -299,22 +329,27 @@ def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray
         dkey = _mixed(key, seed + 1)
 
     def finish(path_no, token, pos, edge, doc, fresh_from, top):
-        lp = lat.logp[pos, edge]
+        lp = np.log(lat.p[edge, pos])
         phi = _cumulated(lp, doc, n_docs)
-        out = -np.expm1(lp)
-        with np.errstate(divide="ignore"):
-            rest = phi + np.where(out > 1e-12, np.log(out), -np.inf)
-        at = np.searchsorted(doc, np.arange(n_docs))
-        step = np.arange(len(doc)) - at[doc]
-        rest = np.where(step >= fresh_from[doc], rest, -np.inf)  # nodes before belong to earlier paths
-        u = _uniform(dkey[doc], _U(1000 + path_no), step.astype(np.uint64))
-        value = _bounded(rest, top[doc], u)
+        at = np.searchsorted(doc, np.arange(n_docs + 1))
         total = np.bincount(doc, weights=lp, minlength=n_docs)
-        return _Paths(token, pos, edge, phi, value, n_docs, doc), total
+        rest = np.full(len(doc), -np.inf)  # nodes before the branch belong to earlier paths
+        floor = np.full(n_docs, -np.inf)
+        some = at[:-1] + fresh_from < at[1:]
+        floor[some] = phi[(at[:-1] + fresh_from)[some]] - margin
+        step = np.arange(len(doc)) - at[:-1][doc]
+        fresh = step >= fresh_from[doc]
+        near = phi >= floor[doc]
+        keep = np.flatnonzero(fresh & near)
+        lost = np.where(np.bincount(doc[fresh & ~near], minlength=n_docs) > 0, floor, -np.inf)
+        out = -np.expm1(lp[keep])
+        with np.errstate(divide="ignore"):
+            loc = phi[keep] + np.where(out > 1e-12, np.log(out), -np.inf)
+        rest[keep] = _bounded(loc, top[doc[keep]], _uniform(dkey[doc[keep]], _U(1000 + path_no), step[keep].astype(np.uint64)))
+        return _Paths(token, pos, edge, phi, rest, lost, doc, at), total
 
     top = -np.log(-np.log(_uniform(dkey, _U(77))))
-    all_tokens = np.arange(len(tdoc))
-    idx, pos, edge = _walk(lat, tok_seg, all_tokens, lat.first[tok_seg], wkey, 0, None) if len(tdoc) else (np.zeros(0, dtype=np.int64),) * 3
+    idx, pos, edge = _walk(lat, tok_seg, lat.size[tok_seg], wkey, 0, None) if len(tdoc) else (np.zeros(0, dtype=np.int64),) * 3
     path, total = finish(0, idx, pos, edge, tdoc[idx], np.zeros(n_docs, dtype=np.int64), top)
     paths, used = [path], {}
     valid = np.ones(n_docs, dtype=bool)
@@ -326,6 +361,8 @@ def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray
             if len(q.rest):
                 best[j, some] = np.maximum.reduceat(q.rest, q.start[:-1][some])
         value, owner = best.max(axis=0), best.argmax(axis=0)
+        if (value < np.max([q.lost for q in paths], axis=0) + REACH).any():
+            raise _TooNarrow
         if i == k:
             yield None, value
             return
@@ -342,12 +379,12 @@ def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray
             hit = np.flatnonzero(q.rest == value[q.doc])
             hit = hit[np.isin(q.doc[hit], docs)]
             node = hit[np.r_[True, q.doc[hit][1:] != q.doc[hit][:-1]]]  # one per text
-            out = np.zeros((len(node), lat.logp.shape[1]), dtype=bool)
+            out = np.zeros((len(node), len(lat.p)), dtype=bool)
             out[np.arange(len(node)), q.edge[node]] = True
             for r, x in enumerate(node.tolist()):
                 for e in used.get((j, x), ()):
                     out[r, e] = True
-            mass = np.where(out, 0.0, np.exp(lat.logp[q.pos[node]]))
+            mass = np.where(out, 0.0, lat.p[:, q.pos[node]].T)
             c = np.cumsum(mass, axis=1)
             u = _uniform(dkey[docs], _U(5000 + i), _U(j) + np.zeros(len(docs), np.uint64))
             e = np.minimum((c <= (u * c[:, -1])[:, None]).sum(axis=1), c.shape[1] - 1)
@@ -375,11 +412,11 @@ def sample_block(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray
         later = _ranges(tok, tok_start[docs + 1] - tok)
         head = np.zeros(len(later), dtype=bool)
         head[np.r_[0, np.cumsum(tok_start[docs + 1] - tok)][:-1]] = True
-        pos0 = lat.first[tok_seg[later]]
-        pos0[head] = flat["pos"][g + node]
+        left0 = lat.size[tok_seg[later]]
+        left0[head] = lat.left[flat["pos"][g + node]]
         given = np.full(len(later), -1)
         given[head] = e
-        idx, pos, edge = _walk(lat, tok_seg, later, pos0, wkey[later], i, given)
+        idx, pos, edge = _walk(lat, tok_seg[later], left0, wkey[later], i, given)
         ndoc = np.r_[np.repeat(docs, before), tdoc[later[idx]]]
         token = np.r_[flat["token"][pre], later[idx]]
         pos, edge = np.r_[flat["pos"][pre], pos], np.r_[flat["edge"][pre], edge]
@@ -396,7 +433,7 @@ def _mixed(key: np.ndarray, seed: int) -> np.ndarray:
 
 def _ids(voc: Vocabulary, lat: _Lattice, path: _Paths, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts and each text's offset in them."""
-    ids = lat.id[path.pos, path.edge]
+    ids = lat.id[path.edge, path.pos]
     lone = np.flatnonzero(ids == BYTES)
     doc = path.doc
     if len(lone):
@@ -442,7 +479,7 @@ def _run(shared, k: int, seed: int):
                 data = raw.tobytes()
                 key = np.asarray(b.column("key").slice(lo, hi - lo)).view(np.uint64)
                 ids_col = b.column("doc_id").slice(lo, hi - lo)
-                found = list(sample_block(voc, data, offs, key, k, seed))
+                found = sample_block(voc, data, offs, key, k, seed)
                 kappa = found[-1][1]
                 for number, valid, total, value, ids, ptr in found[:-1]:
                     pick = np.flatnonzero(valid)
