@@ -188,16 +188,17 @@ class _Lattice:
             k, lo = int(count[r - 1]), int(self.base[r])
             acc = np.zeros(k)
             m = min(r, longest)
+            c = np.empty((m, k))
             for j in range(m):
                 x = self.p[j, lo : lo + k]
                 to = int(self.base[r - 1 - j])
                 x *= beta[to : to + k]
                 acc += x
-                self.cdf[j, lo : lo + k] = acc
+                c[j] = acc
             self.p[:m, lo : lo + k] /= acc
-            c = self.cdf[:m, lo : lo + k]
             c /= acc
             c[c > 0.9999998] = 1  # rounding must leave no gap above the last possible edge
+            self.cdf[:m, lo : lo + k] = c
             beta[lo : lo + k] = acc
             if r % 8 == 0:
                 for j in range(min(r, longest) + 1):
