@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from flowlens.session import ensure_checkpoint_dir
 
 
+#: rows of an Arrow batch: texts are long, and Spark's default of 10,000 would fill a worker's memory
+BATCH_ROWS = "500"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

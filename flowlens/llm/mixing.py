@@ -13,7 +13,7 @@ pass is one aggregate with a row per domain; a document's rate is a function of
 the passes' residuals, so no state is kept or shuffled and nothing is lost with an executor.
 
 ``targets`` are weights of domains; the ``anchor`` domain keeps its tokens (one epoch) and so fixes
-the size of the mix. Copies of a document are floor(r + u) with u from a hash of its id.
+the size of the mix; no domain's target is more than ``MAX_EPOCHS`` times its own tokens. Copies of a document are floor(r + u) with u from a hash of its id.
 
 Defined results: a null or empty text has no tokens and the model's intercept as posteriors; with
 fewer than two labelled domains the posteriors are uniform; a domain without any mass cannot be raised and is left out; repeated
@@ -40,6 +40,7 @@ SLOTS = 1 << 14
 FIT_ROWS = 20_000
 REGULARISATION = 3e-4
 FIT_ITERATIONS = 60
+MAX_EPOCHS = 1.0
 MAX_PASSES = 40
 TOLERANCE = 1e-4
 
@@ -62,11 +63,10 @@ class Classifier:
         df = df.withColumn("_p3_w", _words(text)).withColumn("_p3_n", F.size("_p3_w").cast("bigint"))
         if self.model is None:
             return df.withColumn("_p3_p", F.array(*[F.lit(1.0 / len(DOMAINS))] * len(DOMAINS))).drop("_p3_w")
-        df = self.model.transform(self.tf.transform(df))
+        df = self.model.transform(self.tf.transform(df)).withColumn("_p3_a", vector_to_array("_p3_v"))
         # classes above the largest labelled one have probability 0
-        p = F.transform(F.sequence(F.lit(0), F.lit(len(DOMAINS) - 1)),
-                        lambda d: F.coalesce(F.get(vector_to_array("_p3_v"), d), F.lit(0.0)))
-        return df.withColumn("_p3_p", p).drop("_p3_w", "_p3_f", "_p3_v")
+        p = F.array(*[F.coalesce(F.get("_p3_a", F.lit(d)), F.lit(0.0)) for d in range(len(DOMAINS))])
+        return df.withColumn("_p3_p", p).drop("_p3_w", "_p3_f", "_p3_v", "_p3_a")
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Classifier:
@@ -105,7 +105,7 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, anchor: str = "clean",
-              passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
+              max_epochs: float = MAX_EPOCHS, passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
     """members: rows with ``_p3_n`` and ``_p3_p``."""
     targets = TARGETS if targets is None else targets
     rates = Rates([], {}, {})
@@ -119,7 +119,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
     base = mass[DOMAINS.index(anchor)]
     if base <= 0 or targets.get(anchor, 0) <= 0:
         return rates
-    goal = [base / targets[anchor] * targets.get(d, 0.0) for d in DOMAINS]
+    goal = [min(base / targets[anchor] * targets.get(d, 0.0), max_epochs * m) for d, m in zip(DOMAINS, mass)]
     now = mass
     for _ in range(passes):
         step = [(s - g) / m if m > 0 else 0.0 for s, g, m in zip(now, goal, mass)]
@@ -154,6 +154,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     model = fit_classifier(docs, labels)
     members = cut(model.posteriors(docs.select("text"), F.col("text")).drop("text"))
     rate = fit_rates(members, targets).column()
-    d = model.posteriors(docs, F.col("text")).withColumn("_p3_c", copies(rate))
-    d = d.where("_p3_c > 0").withColumn("_p3_k", F.explode(F.sequence(F.lit(1), F.col("_p3_c"))))
+    # the row number keeps the optimizer from pushing the count below and so evaluating the model per reference
+    d = model.posteriors(docs, F.col("text")).withColumn("_p3_b", F.monotonically_increasing_id())
+    d = d.withColumn("_p3_c", copies(rate) + F.pmod("_p3_b", F.lit(1)).cast("int"))
+    d = d.withColumn("_p3_k", F.explode(F.array_repeat(F.lit(1), F.col("_p3_c"))))
     return d.select(*[F.col(f"`{c}`") for c in docs.columns])

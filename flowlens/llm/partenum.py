@@ -182,11 +182,22 @@ def _classes(n: int):
 PACKET = "part int, cls binary, size binary, sig binary, idx binary, over binary"
 
 
+def _short(sig: np.ndarray) -> bytes:
+    """The upper 48 bits of signatures (two that agree in them just meet as candidates)."""
+    return (sig >> _U(32)).astype(np.uint32).tobytes() + ((sig >> _U(16)) & _U(0xFFFF)).astype(np.uint16).tobytes()
+
+
+def _long(data) -> np.ndarray:
+    n = len(data) // 6
+    high, low = np.frombuffer(data, np.uint32, n), np.frombuffer(data, np.uint16, n, 4 * n)
+    return (high.astype(np.uint64) << _U(32)) | (low.astype(np.uint64) << _U(16))
+
+
 def _packets(sig: np.ndarray, cls: np.ndarray, size: np.ndarray, row: np.ndarray, parts: int,
              over: np.ndarray | None = None) -> pa.RecordBatch:
     """Signatures packed by the partition they go to: one row per partition with plain arrays.
     ``over`` are classes that one of the rows just hands through."""
-    to = (sig % _U(parts)).astype(np.int64)
+    to = ((sig >> _U(16)) % _U(parts)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     sig, row, to = sig[order], row[order].astype(np.uint32), to[order]
     cut_at = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.zeros(0, dtype=np.int64)
@@ -194,7 +205,7 @@ def _packets(sig: np.ndarray, cls: np.ndarray, size: np.ndarray, row: np.ndarray
     for lo, hi in zip(cut_at, np.r_[cut_at[1:], len(to)]):
         used, idx = np.unique(row[lo:hi], return_inverse=True)
         small = np.uint16 if len(used) < 65536 else np.uint32
-        out.append((int(to[lo]), cls[used].tobytes(), size[used].astype(np.uint32).tobytes(), sig[lo:hi].tobytes(), idx.astype(small).tobytes(), b""))
+        out.append((int(to[lo]), cls[used].tobytes(), size[used].astype(np.uint32).tobytes(), _short(sig[lo:hi]), idx.astype(small).tobytes(), b""))
     if over is not None and len(over):
         out.append((int(over[0] % _U(parts)), b"", b"", b"", b"", over.tobytes()))
     return pa.RecordBatch.from_arrays(
@@ -206,7 +217,7 @@ def _sign_texts(n: int, num: int, den: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()  # classes of this partition: copies sign once
         for b in batches:
-            for _, _, data, offs in tb.blocks(b.column("text"), 4 * tb.BLOCK_BYTES):
+            for _, _, data, offs in tb.blocks(b.column("text"), 2 * tb.BLOCK_BYTES):
                 sh, ptr = tb.shingle_sets(tb.LOWER[data], offs, n)
                 size, cls = np.diff(ptr), set_hash(sh, ptr)
                 new = np.array([bool(k) and not (c in seen or seen.add(c)) for k, c in zip(size.tolist(), cls.tolist())], dtype=bool)
@@ -256,7 +267,7 @@ def _groups(num: int, den: int):
                 if not len(b.column("sig")[i].as_buffer()):
                     continue
                 c, k, s, x = (b.column(j)[i].as_buffer() for j in range(1, 5))
-                c, k, s = np.frombuffer(c, np.int64), np.frombuffer(k, np.uint32), np.frombuffer(s, np.uint64)
+                c, k, s = np.frombuffer(c, np.int64), np.frombuffer(k, np.uint32), _long(s)
                 x = np.frombuffer(x, np.uint16 if len(x) == 2 * len(s) else np.uint32)
                 sig.append(s)
                 cls.append(c[x])
@@ -376,7 +387,8 @@ def family_links(sets: DataFrame, family: DataFrame, num: int, den: int) -> Data
     spread = member.select(
         "cls", "family", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("cls", "block", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = sets.select("cls", "items").join(spread, "cls")
+    used = sets.select("cls", "items").join(_small(cut(member.select("cls"))), "cls", "left_semi")
+    rows = used.join(spread, "cls")
     return cut(
         rows.select("family", "i", "j", "block", "cls", "items").groupBy("family", "i", "j")
         .applyInArrow(_block_links(num, den), "a bigint, b bigint")
@@ -417,11 +429,11 @@ def _may_link(num: int, den: int):
     return run
 
 
-def _sets(n: int, filter_bits):
-    bits = filter_bits
+def _candidates(n: int, wanted_bits, whole: bool):
+    """(cls, n, sketch, items) of the sets whose slot is marked; items only with ``whole``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = bits.value
+        wanted = wanted_bits.value
         seen: set = set()
         for b in batches:
             for _, _, data, offs in tb.blocks(b.column("text")):
@@ -429,21 +441,15 @@ def _sets(n: int, filter_bits):
                 size, cls = np.diff(ptr), set_hash(sh, ptr)
                 slot = (cls % _U(FILTER_BITS)).astype(np.int64)
                 ok = (size > 0) & ((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
-                toggled = _sketches(sh, ptr)
-                out_c, out_s, out_n, out_t = [], [], [], []
-                for i in np.flatnonzero(ok):
-                    c = int(cls[i])
-                    if c not in seen:
-                        seen.add(c)
-                        out_c.append(c)
-                        out_s.append(sh[ptr[i] : ptr[i + 1]].tobytes())
-                        out_n.append(int(size[i]))
-                        out_t.append(toggled[i].tobytes())
-                if out_c:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.array(out_c, dtype=np.uint64).view(np.int64)), pa.array(out_n, pa.int64()),
-                         pa.array(out_t, pa.binary()), pa.array(out_s, pa.binary())],
-                        names=["cls", "n", "sketch", "items"])
+                pick = [i for i in np.flatnonzero(ok).tolist() if not (int(cls[i]) in seen or seen.add(int(cls[i])))]
+                if not pick:
+                    continue
+                toggled = None if whole else _sketches(sh, ptr)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cls[pick].view(np.int64)), pa.array(size[pick].astype(np.int64)),
+                     pa.array([None if whole else toggled[i].tobytes() for i in pick], pa.binary()),
+                     pa.array([sh[ptr[i] : ptr[i + 1]].tobytes() if whole else None for i in pick], pa.binary())],
+                    names=["cls", "n", "sketch", "items"])
 
     return run
 
@@ -474,14 +480,19 @@ def _bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     return np.packbits(mark, bitorder="little")
 
 
-def _links(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Of (a, b) class pairs those whose sets are similar enough: sketches first, then the sets."""
-    short = sets.select("cls", "n", "sketch")
+def _sketch_near(short: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) class pairs that their sketches let pass."""
     near = pairs.join(short.select(*[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "b_n"), ("sketch", "b_sketch"))]), "b").join(
         short.select(*[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "a_n"), ("sketch", "a_sketch"))]), "a")
-    pairs = cut(near.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(_may_link(num, den), "a bigint, b bigint"))
-    one = pairs.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("b_items")), "b")
-    two = one.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("a_items")), "a")
+    return cut(near.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(_may_link(num, den), "a bigint, b bigint"))
+
+
+def _links(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Of (a, b) class pairs those whose sets are similar enough."""
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+    used = sets.select("cls", "items").join(_small(ids), "cls", "left_semi")
+    one = pairs.join(used.select(F.col("cls").alias("b"), F.col("items").alias("b_items")), "b")
+    two = one.join(used.select(F.col("cls").alias("a"), F.col("items").alias("a_items")), "a")
     return cut(two.select("a", "b", "a_items", "b_items").mapInArrow(_verify(num, den), "a bigint, b bigint"))
 
 
@@ -503,19 +514,28 @@ def jaccard_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     pairs = cut(weak.where("sig is null").select("a", "b").distinct())
     large = cut(weak.where("sig is not null").select(F.col("a").alias("cls")).distinct())
 
-    # the sets of all candidates, once; the filter of fixed size saves most others the way
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(large)
-    slot = F.col("cls").bitwiseAND(F.lit(FILTER_BITS - 1))
-    wanted = sc.broadcast(_bitmap(ids.select(slot.alias("s")).distinct(), "s", FILTER_BITS))
-    sets = cut(texts.mapInArrow(_sets(n, wanted), "cls bigint, n bigint, sketch binary, items binary").dropDuplicates(["cls"]))
+    def candidates(ids: DataFrame, whole: bool) -> DataFrame:
+        """Of the sets named by ids (and few others: a filter of fixed size saves most the way)."""
+        slot = F.col("cls").bitwiseAND(F.lit(FILTER_BITS - 1))
+        wanted = sc.broadcast(_bitmap(ids.select(slot.alias("s")).distinct(), "s", FILTER_BITS))
+        return cut(texts.mapInArrow(_candidates(n, wanted, whole), "cls bigint, n bigint, sketch binary, items binary").dropDuplicates(["cls"]))
+
+    def members(of: DataFrame) -> DataFrame:
+        return of.select(F.explode(F.array("a", "b")).alias("cls"))
+
+    # sketches of all candidates, then the sets of those that are left
+    short = candidates(members(pairs).unionByName(large), False)
+    pairs = _sketch_near(short, pairs, num, den)
+    sets = candidates(members(pairs).unionByName(large), True)
 
     # members of large groups: sign again on the shingles that are rare among them
-    crowd = sets.join(large, "cls", "left_semi")
+    crowd = sets.select("cls", "items").join(_small(large), "cls", "left_semi")
     often = crowd.mapInArrow(_slot_counts, "slot int, c bigint").groupBy("slot").agg(F.sum("c").alias("c")).where(F.col("c") > LARGE)
     frequent = sc.broadcast(_bitmap(often, "slot", SLOTS))
     again = grouped(crowd.mapInArrow(_sign_sets(num, den, parts, frequent), PACKET))
 
-    links = _links(sets, cut(pairs.unionByName(again.where("b is not null").select("a", "b")).distinct()), num, den)
+    rare = _sketch_near(short, cut(again.where("b is not null").select("a", "b").distinct()), num, den)
+    links = _links(sets, cut(pairs.unionByName(rare).distinct()), num, den)
 
     # sets with hardly any rare content: those that share a large group form families
     over = cut(again.where("b is null").select(F.col("a").alias("cls")).distinct())

@@ -221,8 +221,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts, broadcast when they are few."""
     names = docs.columns
     rows = _prepared(docs.select(F.col(id_col), F.col(text_col).alias("_p5_text")), "_p5_text")
-    tokens = cut(rows.select(_key(id_col).alias("key"), "_p5_tok").where(F.size("_p5_tok") > 0))
-    more = _added(tokens)
+    # written before it is filtered: a filter pushed below would evaluate the patterns again and again
+    more = _added(cut(rows.select(_key(id_col).alias("key"), "_p5_tok")))
     if more.count() <= BROADCAST_ROWS:
         more = F.broadcast(more)
     d = _with_base(docs.withColumn("_p5_t", F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

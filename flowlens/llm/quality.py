@@ -214,5 +214,5 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, d
 def filter_quality(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The documents kept, with the columns they came with. The texts are measured twice (for the
     cutoffs and for the verdict): cheaper than moving them through a join."""
-    cutoffs = fit_cutoffs(measure(docs.select("doc_id", "lang", "text")).drop("text"), labels, alpha=alpha, delta=delta)
+    cutoffs = fit_cutoffs(cut(measure(docs.select("doc_id", "lang", "text")).drop("text")), labels, alpha=alpha, delta=delta)
     return measure(docs).where(verdict(cutoffs)).drop("_q8_m")
