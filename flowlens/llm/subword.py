@@ -333,7 +333,7 @@ def _sample(voc: Vocabulary, data: bytes, offs: np.ndarray, key: np.ndarray, k:
         lp = np.log(lat.p[edge, pos])
         phi = _cumulated(lp, doc, n_docs)
         at = np.searchsorted(doc, np.arange(n_docs + 1))
-        total = np.bincount(doc, weights=lp, minlength=n_docs)
+        total = np.bincount(doc, weights=lp, minlength=n_docs).astype(float)  # whole numbers when empty
         rest = np.full(len(doc), -np.inf)  # nodes before the branch belong to earlier paths
         floor = np.full(n_docs, -np.inf)
         some = at[:-1] + fresh_from < at[1:]
