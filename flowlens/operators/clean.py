@@ -37,4 +37,4 @@ def clean_packets(df: DataFrame, length_policy: str = "zero") -> DataFrame:
         out = out.withColumn("length", F.coalesce(length, F.lit(0)))
     else:
         out = out.withColumn("length", length).where(F.col("length").isNotNull())
-    return out.where(F.col("time").isNotNull()).withColumn("info", F.coalesce(F.col("info"), F.lit("nan")))
+    return out.where(F.col("time").isNotNull() & ~F.isnan("time")).withColumn("info", F.coalesce(F.col("info"), F.lit("nan")))

@@ -88,9 +88,3 @@ def bootstrap_class_dist(
     spark = windows.sparkSession
     schema = f"rep bigint, {label_col} int, share double"
     return spark.range(0, n_boot, numPartitions=max(1, min(n_boot, spark.sparkContext.defaultParallelism))).mapInPandas(draw, schema)
-
-
-def _w_all(label_col: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(label_col).rowsBetween(Window.unboundedPreceding, 0)

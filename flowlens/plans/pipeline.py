@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from flowlens.constants import (
-    DOWNSAMPLE_FRAC,
     DOWNSAMPLE_LABELS,
     DOWNSAMPLE_MIN_KEEP,
     STEP_SIZE,
@@ -33,7 +32,7 @@ def build_training_windows(
     rules=DEFAULT_RULES,
     size: int = WINDOW_SIZE,
     step: int = STEP_SIZE,
-    sample_frac: float = DOWNSAMPLE_FRAC,
+    sample_frac: float | None = None,
     min_keep: int = DOWNSAMPLE_MIN_KEEP,
     downsample_labels=DOWNSAMPLE_LABELS,
     downsample_after_iat: bool = False,
@@ -42,12 +41,14 @@ def build_training_windows(
     method: str = "panes",
 ) -> DataFrame:
     """Raw named captures (T1) -> labelled merged timeline -> downsample -> packet features ->
-    windows (T4). ``downsample_after_iat`` thins after the per-flow IAT is computed (the
+    windows (T4). All packets are used unless the caller gives ``sample_frac``. ``downsample_after_iat`` thins after the per-flow IAT is computed (the
     reference thins first, which stretches IAT of thinned classes)."""
     cleaned = [(name, clean_packets(df, length_policy)) for name, df in captures]
     tl = merge_timeline(label_captures(cleaned, rules), materialize)
 
     def thin(df):
+        if sample_frac is None:
+            return df
         return downsample(df, sample_frac, min_keep=min_keep, labels=downsample_labels)
 
     if downsample_after_iat:

@@ -10,20 +10,20 @@ from flowlens.constants import CLASS_NAMES, FEATURE_COLS
 from flowlens.functions.packet import time_label
 from flowlens.operators import eda, summary
 from flowlens.operators.packet_features import iat_raw
-from flowlens.operators.sample import bootstrap_class_dist, downsample
+from flowlens.operators.sample import bootstrap_class_dist
 from flowlens.plans import oracle as O
 from flowlens.plans.queries_prep import TIMELINE, sql, timeline, training_packets
 from flowlens.operators.windows import window_features
 from flowlens.plans.registry import register
 from flowlens.session import materialize
 
-DS_DEFAULT = O.downsample_cte("timeline", "ds", 0.1, 500000, [0, 1, 4])
-EDA_PACKETS = TIMELINE + [DS_DEFAULT]
+#: every packet of the timeline
+EDA_PACKETS = TIMELINE + ["ds AS (SELECT * FROM timeline)"]
 TRAIN = EDA_PACKETS + [O.feat_cte("ds", "tfeat"), O.windows_sql("tfeat", order="global_time", has_labels=True)]
 
 
 def eda_packets(spark, sf):
-    return downsample(timeline(spark, sf))
+    return timeline(spark, sf)
 
 
 def train_windows(spark, sf):

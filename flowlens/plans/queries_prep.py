@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.constants import HOSTS, PORTSCAN_NROWS
+from flowlens.constants import HOSTS
 from flowlens.operators.clean import clean_dest, clean_packets
 from flowlens.operators.label import (
     capture_counts,
@@ -41,8 +41,8 @@ def timeline(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Dat
 
 
 def training_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merged, labelled timeline -> downsample (reference defaults) -> packet features."""
-    return materialize(packet_features(downsample(timeline(spark, sf_dir))))
+    """Merged, labelled timeline -> packet features of every packet."""
+    return materialize(packet_features(timeline(spark, sf_dir)))
 
 
 def training_windows_plan(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
@@ -55,6 +55,8 @@ def training_windows_plan(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 BASE = [O.PACKETS, O.CLEAN_ZERO]
+#: the argument that the scan_nrows query passes (the feature is the row limit)
+SCAN_ROWS = 2500
 TIMELINE = BASE + [O.labeled_ctes()]
 
 
@@ -67,9 +69,9 @@ def q_scan(spark, sf):
     return packets_from_events(spark, sf)
 
 
-@register("scan_nrows", sql(*BASE[:1], final=f"SELECT * FROM packets_x WHERE no <= {PORTSCAN_NROWS}"), PACKET_DOUBLES)
+@register("scan_nrows", sql(*BASE[:1], final=f"SELECT * FROM packets_x WHERE no <= {SCAN_ROWS}"), PACKET_DOUBLES)
 def q_scan_nrows(spark, sf):
-    return scan_nrows(packets_from_events(spark, sf), PORTSCAN_NROWS)
+    return scan_nrows(packets_from_events(spark, sf), SCAN_ROWS)
 
 
 @register("clean_dest", sql(*BASE[:1], final="SELECT * FROM packets_x WHERE destination IS NOT NULL"), PACKET_DOUBLES)
@@ -206,7 +208,7 @@ def q_rank_by_label(spark, sf):
 
 
 TRAIN_WINDOWS_SQL = sql(
-    *TIMELINE, O.downsample_cte("timeline", "ds", 0.1, 500000, [0, 1, 4]),
+    *TIMELINE, "ds AS (SELECT * FROM timeline)",
     O.feat_cte("ds", "tfeat"), O.windows_sql("tfeat", order="global_time", has_labels=True),
     final="SELECT * FROM windows",
 )

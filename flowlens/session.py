@@ -36,6 +36,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we pick a scratch folder of our own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="flowlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -84,3 +84,11 @@ def test_bootstrap_shares(spark):
     labels = [r[1] for r in rows]
     for lab in set(labels):
         assert abs(mean[lab] - labels.count(lab) / len(labels)) < 0.01
+
+
+def test_nan_time_is_dropped(spark):
+    from flowlens.operators.clean import clean_packets
+
+    rows = [("1.5", "a", "60", None), ("NaN", "a", "60", None), (None, "a", "60", None)]
+    df = spark.createDataFrame(rows, "time string, destination string, length string, info string")
+    assert [r.time for r in clean_packets(df).collect()] == [1.5]
