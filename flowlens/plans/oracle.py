@@ -84,29 +84,34 @@ def feat_cte(src: str = "clean", name: str = "feat", iat_part: str = "flow_id",
 )"""
 
 
-def windows_sql(src: str, size: int = 100, step: int = 10, order: str = "time", has_labels: bool = False) -> str:
-    """CTEs computing count windows over ``src`` (packet features); the last CTE is ``windows``."""
+def windows_sql(src: str, size: int = 100, step: int = 10, order: str = "time", has_labels: bool = False,
+                key: str = "0") -> str:
+    """CTEs computing count windows over ``src`` (packet features); the last CTE is ``windows``. With a
+    ``key`` the windows are those of each key, named in a column ``key``."""
+    keep = "" if key == "0" else "a.key, "
     lab_cte = ""
     lab_cols = "-1.0 AS dominant_ratio, -1 AS Label"
     lab_join = ""
     if has_labels:
         lab_cte = f""",
-wl AS (SELECT w, label, count(*) AS c, min(rank) AS fr FROM wx GROUP BY w, label),
-wd AS (SELECT w, label, c, row_number() OVER (PARTITION BY w ORDER BY c DESC, fr) AS k FROM wl)"""
+wl AS (SELECT key, w, label, count(*) AS c, min(rank) AS fr FROM wx GROUP BY key, w, label),
+wd AS (SELECT key, w, label, c, row_number() OVER (PARTITION BY key, w ORDER BY c DESC, fr) AS k FROM wl)"""
         lab_cols = "CAST(wd.c AS DOUBLE) / a.pkt_count AS dominant_ratio, CAST(wd.label AS INTEGER) AS Label"
-        lab_join = "JOIN wd ON wd.w = a.w AND wd.k = 1"
+        lab_join = "JOIN wd ON wd.key = a.key AND wd.w = a.w AND wd.k = 1"
     return f"""
 ranked AS (
-  SELECT *, row_number() OVER (ORDER BY {order}, no) - 1 AS rank, count(*) OVER () AS n FROM {src}
+  SELECT *, {key} AS key, row_number() OVER (PARTITION BY {key} ORDER BY {order}, no) - 1 AS rank,
+         count(*) OVER (PARTITION BY {key}) AS n FROM {src}
 ),
 wins AS (
-  SELECT range AS w FROM range(0, (SELECT CASE WHEN max(n) >= {size} THEN (max(n) - {size}) // {step} + 1 ELSE 0 END FROM ranked))
+  SELECT key, unnest(range(0, CASE WHEN max(n) >= {size} THEN (max(n) - {size}) // {step} + 1 ELSE 0 END)) AS w
+  FROM ranked GROUP BY key
 ),
 wx AS (
-  SELECT wins.w, ranked.* FROM ranked JOIN wins ON ranked.rank BETWEEN wins.w * {step} AND wins.w * {step} + {size - 1}
+  SELECT wins.w, ranked.* FROM ranked JOIN wins ON wins.key = ranked.key AND ranked.rank BETWEEN wins.w * {step} AND wins.w * {step} + {size - 1}
 ),
 agg AS (
-  SELECT w, arg_min(time, rank) AS time_start, arg_max(time, rank) AS time_end, count(*) AS pkt_count,
+  SELECT key, w, arg_min(time, rank) AS time_start, arg_max(time, rank) AS time_end, count(*) AS pkt_count,
          CAST(sum(length) AS DOUBLE) AS byte_total, avg(length) AS byte_mean, stddev_pop(length) AS byte_std,
          CAST(min(length) AS DOUBLE) AS byte_min, CAST(max(length) AS DOUBLE) AS byte_max,
          avg(iat) AS IAT_mean, stddev_pop(iat) AS IAT_std, min(iat) AS IAT_min, max(iat) AS IAT_max, sum(iat) AS IAT_total,
@@ -116,15 +121,15 @@ agg AS (
          count(DISTINCT source) AS n_unique_src, count(DISTINCT destination) AS n_unique_dst,
          count(DISTINCT flow_id) AS n_unique_flows, count(DISTINCT dst_port) AS n_unique_dports,
          count(DISTINCT src_port) AS n_unique_sports
-  FROM wx GROUP BY w
+  FROM wx GROUP BY key, w
 ),
-wp AS (SELECT w, proto_num, count(*) AS c FROM wx GROUP BY w, proto_num),
+wp AS (SELECT key, w, proto_num, count(*) AS c FROM wx GROUP BY key, w, proto_num),
 went AS (
-  SELECT wp.w, -sum((CAST(wp.c AS DOUBLE) / agg.pkt_count) * log2(CAST(wp.c AS DOUBLE) / agg.pkt_count + 1e-9)) AS protocol_entropy
-  FROM wp JOIN agg ON agg.w = wp.w GROUP BY wp.w
+  SELECT wp.key, wp.w, -sum((CAST(wp.c AS DOUBLE) / agg.pkt_count) * log2(CAST(wp.c AS DOUBLE) / agg.pkt_count + 1e-9)) AS protocol_entropy
+  FROM wp JOIN agg ON agg.key = wp.key AND agg.w = wp.w GROUP BY wp.key, wp.w
 ){lab_cte},
 windows AS (
-SELECT a.w * {step} AS window_idx, time_start, time_end, pkt_count, byte_total, byte_mean, byte_std, byte_min, byte_max,
+SELECT {keep}a.w * {step} AS window_idx, time_start, time_end, pkt_count, byte_total, byte_mean, byte_std, byte_min, byte_max,
        pkt_count / greatest(time_end - time_start, 1e-9) AS pkt_rate,
        byte_total / greatest(time_end - time_start, 1e-9) AS byte_rate,
        greatest(time_end - time_start, 1e-9) AS flow_duration,
@@ -136,7 +141,7 @@ SELECT a.w * {step} AS window_idx, time_start, time_end, pkt_count, byte_total,
        CASE WHEN SYN_count > 0 AND ACK_count = 0 THEN 1 ELSE 0 END AS syn_no_ack,
        n_unique_src, n_unique_dst, n_unique_flows, n_unique_dports, n_unique_sports,
        went.protocol_entropy, {lab_cols}
-FROM agg a JOIN went ON went.w = a.w {lab_join}
+FROM agg a JOIN went ON went.key = a.key AND went.w = a.w {lab_join}
 )"""
 
 

@@ -45,17 +45,18 @@ fs AS (
 
 STREAM_THREATS = """
 thr0 AS (
-  SELECT 'events' AS key, event_id AS window_idx, (epoch_us(ts) - 1704067200000000) / 1e6 AS time_start, prediction,
-         confidence
-  FROM pn WHERE prediction <> 'Normal'
+  SELECT '10.0.0.' || CAST(e.user_id % 20 + 1 AS VARCHAR) AS key, event_id AS window_idx,
+         (epoch_us(pn.ts) - 1704067200000000) / 1e6 AS time_start, prediction, confidence
+  FROM pn JOIN events e USING (event_id) WHERE prediction <> 'Normal'
 ),
-thr AS (SELECT *, row_number() OVER (ORDER BY time_start, window_idx) - 1 AS r FROM thr0),
+thr AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY time_start, window_idx) - 1 AS r FROM thr0),
 thn AS (
-  SELECT thr.*, (SELECT count(*) FROM thr t2 WHERE t2.time_start < thr.time_start + 3.0) AS nx,
-         (SELECT count(*) FROM thr) AS n
+  SELECT thr.*, (SELECT count(*) FROM thr t2 WHERE t2.key = thr.key AND t2.time_start < thr.time_start + 3.0) AS nx,
+         (SELECT count(*) FROM thr t3 WHERE t3.key = thr.key) AS n
   FROM thr
 ),
-chain(r) AS (SELECT 0 UNION ALL SELECT thn.nx FROM thn JOIN chain ON thn.r = chain.r WHERE thn.nx < thn.n)"""
+chain(key, r) AS (SELECT DISTINCT key, 0 FROM thr UNION ALL
+                  SELECT thn.key, thn.nx FROM thn JOIN chain ON thn.key = chain.key AND thn.r = chain.r WHERE thn.nx < thn.n)"""
 
 
 def flows(spark, sf):
@@ -84,22 +85,26 @@ def _write_in_order(df, base, order_col, slices=4):
     return df.schema
 
 
-def _stream_in_order(spark, df, order_col, build, name, slices=4, mode="append"):
-    """Replay ``df`` as files arriving in time order: slice k is written (in parallel), then
-    the streaming query runs over everything available and stops; the next slice restarts
-    it from its checkpoint. Each micro-batch is one slice (bounded), order across batches
-    is guaranteed, and every restart exercises recovery from the checkpoint."""
-    from pyspark.sql import Window  # noqa: F401
-
-    base, out, ck = _scratch(spark, f"{name}-in"), _scratch(spark, f"{name}-out"), _scratch(spark, f"{name}-ck")
+def _replay(spark, df, order_col, advance, name, slices=4, closing=None):
+    """Replay ``df`` as files arriving in time order: slice k is written (in parallel), then ``advance`` runs the
+    streaming query over what has arrived and stops; the next slice restarts it from its checkpoint. ``closing``
+    holds rows that arrive after all others. Returns what the last run returned."""
+    base = _scratch(spark, f"{name}-in")
     r = packet_rank(df.withColumn("_tb", F.xxhash64(*df.columns)), order_by=(order_col, "_tb"), rank_col="_r",
                     total_col="_n")
     sliced = r.withColumn("_slice", (F.floor(F.col("_r") * slices / F.col("_n")) + 1).cast("int")).drop("_r", "_n", "_tb")
     sliced = materialize(sliced)
-    for i in range(1, slices + 1):
-        sliced.where(F.col("_slice") == i).drop("_slice").write.parquet(os.path.join(base, f"part_{i:03d}"))
-        src = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(base)
-        X.run_to_table(build(src), out, ck, mode)
+    pieces = [sliced.where(F.col("_slice") == i).drop("_slice") for i in range(1, slices + 1)]
+    for i, piece in enumerate(pieces + ([] if closing is None else [closing]), 1):
+        piece.write.parquet(os.path.join(base, f"part_{i:03d}"))
+        out = advance(spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(base))
+    return out
+
+
+def _stream_in_order(spark, df, order_col, build, name, slices=4, mode="append", closing=None):
+    """``_replay`` into a file sink; every restart exercises recovery from the checkpoint."""
+    out, ck = _scratch(spark, f"{name}-out"), _scratch(spark, f"{name}-ck")
+    _replay(spark, df, order_col, lambda src: X.run_to_table(build(src), out, ck, mode), name, slices, closing)
     return spark.read.parquet(out)
 
 
@@ -109,40 +114,46 @@ def _stream_source(spark, base, schema):
 
 
 @register("stream_count_windows",
-          O.with_ctes(O.PACKETS, O.CLEAN_ZERO, O.feat_cte(), O.windows_sql("feat"), final="SELECT * FROM windows"),
-          O.WINDOW_DOUBLES)
+          O.with_ctes(O.PACKETS, O.CLEAN_ZERO, O.feat_cte(iat_part="source, flow_id"), O.windows_sql("feat", key="source"),
+                      final="SELECT * FROM windows"), O.WINDOW_DOUBLES)
 def q_stream_windows(spark, sf):
-    """Streaming count windows over the packets arriving as time-ordered files; equals the
-    batch windows (tests/test_streaming.py)."""
-    parsed = parse_packets(clean(spark, sf)).withColumn("capture", F.lit("all"))
-    res = _stream_in_order(spark, parsed, "time", lambda src: X.stream_count_windows(src, key="capture"), "x1")
-    return res.drop("key", "late_dropped")
+    """Count windows per source over the packets arriving as time-ordered files; equals the
+    batch windows of each source (tests/test_streaming.py)."""
+    parsed = parse_packets(clean(spark, sf))
+    folder = _scratch(spark, "x1")
+    return _replay(spark, parsed, "time", lambda src: X.stream_count_windows(src, folder, key="source"), "x1")
 
 
 @register("stream_alerts", "WITH RECURSIVE " + O.with_ctes(_EV.SCORED, _EV.PRED, STREAM_THREATS, final="""SELECT key,
-    window_idx, time_start, prediction, confidence, row_number() OVER (ORDER BY time_start, window_idx) AS alert_no
-    FROM thn WHERE r IN (SELECT r FROM chain)""")[len("WITH "):], ["time_start", "confidence"])
+    window_idx, time_start, prediction, confidence, row_number() OVER (PARTITION BY key ORDER BY time_start, window_idx) AS alert_no
+    FROM thn WHERE (key, r) IN (SELECT key, r FROM chain)""")[len("WITH "):], ["time_start", "confidence"])
 def q_stream_alerts(spark, sf):
-    """Throttled alerts over the scored events stream (3 s of event time per key)."""
+    """Throttled alerts per source over the scored events stream (3 s of event time per source)."""
     from flowlens.plans.queries_eval import predictions
+    from flowlens.sources.packets import read_table
 
-    p = predictions(spark, sf).select(
-        F.lit("events").alias("key"), F.col("event_id").alias("window_idx"),
+    source = read_table(spark, sf, "events").select(
+        "event_id", F.concat(F.lit("10.0.0."), (F.col("user_id") % 20 + 1).cast("string")).alias("key"))
+    p = predictions(spark, sf).join(source, "event_id").select(
+        "key", F.col("event_id").alias("window_idx"),
         F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").cast("double").__truediv__(1e6)
         .alias("time_start"), "prediction", "confidence")
     return _stream_in_order(spark, p, "time_start", X.stream_alerts, "x3")
 
 
-@register("stream_packet_rate", O.with_ctes(*_PREP.TIMELINE, final="""SELECT * FROM (
+@register("stream_packet_rate", O.with_ctes(*_PREP.TIMELINE, final="""
       SELECT CAST(floor(global_time) AS BIGINT) AS second, label, count(*) AS packets,
              count(DISTINCT source) AS n_src_approx
-      FROM timeline GROUP BY 1, 2) AS g
-    WHERE second + 1 <= floor((SELECT max(global_time) FROM timeline)) - 10"""))
+      FROM timeline GROUP BY 1, 2"""))
 def q_stream_packet_rate(spark, sf):
     """1-second tumbling windows with a 10 s watermark over the labelled timeline stream,
-    files in time order: every window ending at or before the final watermark is emitted."""
+    files in time order. A last row, a minute later and without a class, closes the stream: it moves the
+    watermark past every second of the table and is not emitted itself."""
     t = timeline(spark, sf).select("no", "global_time", "source", "label")
-    res = _stream_in_order(spark, t, "global_time", X.stream_packet_rate, "x5")
+    end = t.agg((F.max("global_time") + 60.0).alias("global_time")).select(
+        F.lit(None).cast("bigint").alias("no"), "global_time", F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast(t.schema["label"].dataType).alias("label"))
+    res = _stream_in_order(spark, t, "global_time", X.stream_packet_rate, "x5", closing=end)
     return res.select(F.unix_seconds("second_start").alias("second"), "label", "packets",
                                           "n_src_approx")
 
@@ -165,12 +176,8 @@ def q_stream_metrics(spark, sf):
         "event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").alias("t_us"), "prediction")
     base = _scratch(spark, "x4-in")
     schema = _write_in_order(p, base, "t_us")
-    name = "x4_" + uuid.uuid4().hex[:8]
-    q = (X.stream_metrics(_stream_source(spark, base, schema)).writeStream.format("memory").queryName(name)
-         .outputMode("complete").option("checkpointLocation", _scratch(spark, "x4-ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    # five rows at most (one per class)
-    return spark.createDataFrame(spark.table(name).collect(), spark.table(name).schema)
+    return X.run_complete(X.stream_metrics(_stream_source(spark, base, schema)), _scratch(spark, "x4-out"),
+                          _scratch(spark, "x4-ck"))
 
 
 THREATS = """
