@@ -96,7 +96,15 @@ def exact_avg(c) -> Column:
 
 def np_round(c, digits: int) -> Column:
     """numpy's ``round``/pandas ``.round``: rint(x * 10^d) / 10^d (half-even on the scaled
-    double). Spark's ``bround`` rounds the shortest decimal form instead (2.675 -> 2.68,
-    numpy 2.67)."""
+    double, so 2.675 -> 2.68)."""
     scale = float(10 ** digits)
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)
+
+
+def py_round(c, digits: int) -> Column:
+    """Python's ``round(x, d)``: the exact binary value is rounded (2.675, stored a little below, -> 2.67;
+    0.12345, stored a little above, -> 0.1235). Spark's ``bround`` rounds the shortest decimal form instead."""
+    x = _col(c).cast("double")
+    finite = F.abs(x) < F.lit(float("inf"))  # NaN sorts above every number
+    text = F.call_function("format_number", F.when(finite, x), F.lit("0." + "0" * digits))
+    return F.when(finite, text.cast("double")).otherwise(x)

@@ -17,34 +17,38 @@ from flowlens.operators.rank import packet_rank
 def histogram(
     df: DataFrame,
     value: str,
-    bins: int,
+    bins: int | str,
     keys: Sequence[str] = (),
     density: bool = False,
     range_: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Equal-width histogram per key group, numpy semantics: range = (min, max) of the
     group (widened by 0.5 each side when min == max), last bin closed. Every bin is
-    returned, empty ones with count 0 (keys x bins rows, bounded by ``bins``)."""
+    returned, empty ones with count 0 (keys x bins rows, bounded by ``bins``). ``bins`` is a
+    number or the name of a column that is constant within a group."""
     keys = list(keys)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    n_bins = F.max("_bins").alias("_bins")
+    vals = df.select(*keys, (F.col(bins) if isinstance(bins, str) else F.lit(bins)).alias("_bins"), F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     if range_ is None:
-        rng = vals.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.count(F.lit(1)).alias("_n"))
+        rng = vals.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.count(F.lit(1)).alias("_n"),
+                                     n_bins)
         rng = rng.select(
-            *keys, "_n",
+            *keys, "_n", "_bins",
             F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
             F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
         )
     else:
         vals = vals.where((F.col("_x") >= range_[0]) & (F.col("_x") <= range_[1]))
-        rng = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(
-            *keys, "_n", F.lit(float(range_[0])).alias("_lo"), F.lit(float(range_[1])).alias("_hi"))
+        rng = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), n_bins).select(
+            *keys, "_n", "_bins", F.lit(float(range_[0])).alias("_lo"), F.lit(float(range_[1])).alias("_hi"))
     # one row per key group: bounded by the number of groups; AQE broadcasts it when small
+    vals = vals.drop("_bins")
     x = vals.join(rng, keys, "inner") if keys else vals.crossJoin(F.broadcast(rng))
-    b = F.least(F.floor((F.col("_x") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo")))),
-                F.lit(bins - 1)).cast("int")
+    b = F.least(F.floor((F.col("_x") - F.col("_lo")) * (F.col("_bins").cast("double") / (F.col("_hi") - F.col("_lo")))),
+                F.col("_bins") - 1).cast("int")
     counts = x.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.select(*keys, "_n", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    grid = rng.select(*keys, "_n", "_lo", "_hi", "_bins", F.explode(F.sequence(F.lit(0), F.col("_bins") - 1)).alias("bin"))
+    width = (F.col("_hi") - F.col("_lo")) / F.col("_bins").cast("double")
     out = grid.join(counts, [*keys, "bin"], "left").select(
         *keys, "bin",
         (F.col("_lo") + F.col("bin") * width).alias("edge_lo"),
@@ -72,7 +76,9 @@ def exact_percentiles(
     base = df.select(*keys, F.col(value).cast("double").alias("_v"), tb.alias("_tb")).where(F.col("_v").isNotNull())
     ranked = packet_rank(base, order_by=("_v", "_tb"), rank_col="_r", keys=keys, total_col="_n")
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    pos = ranked.select(*keys, "_v", "_r", "_n", F.explode(ps).alias("p")).withColumn(
+    at = F.col("_n") - 1
+    wanted = F.exists(ps, lambda p: (F.col("_r") == F.floor(p * at)) | (F.col("_r") == F.ceil(p * at)))
+    pos = ranked.where(wanted).select(*keys, "_v", "_r", "_n", F.explode(ps).alias("p")).withColumn(
         "_pos", F.col("p") * (F.col("_n") - 1))
     near = pos.where((F.col("_r") == F.floor("_pos")) | (F.col("_r") == F.ceil("_pos")))
     agg = near.groupBy(*keys, "p").agg(
@@ -154,7 +160,7 @@ DESCRIBE_FEATURES = ["pkt_count", "byte_total", "byte_mean", "byte_std", "pkt_ra
 
 
 def feature_hists(windows: DataFrame, spec=FEATURE_HISTS, label: str = "Label") -> DataFrame:
-    """Density histograms of several window features per class, in one job: the
+    """Density histograms of several window features per class, in one pass: the
     features are melted to (feature, value) rows and histogrammed per (feature, class)."""
     parts = [
         F.struct(F.lit(f).alias("feature"), clip(F.col(f).cast("double"), 0.0 if hi is not None else None, hi).alias("v"),
@@ -162,14 +168,7 @@ def feature_hists(windows: DataFrame, spec=FEATURE_HISTS, label: str = "Label")
         for f, b, hi in spec
     ]
     melted = windows.select(label, F.explode(F.array(*parts)).alias("m")).select(label, "m.feature", "m.v", "m.bins")
-    outs = []
-    for f, b, _ in spec:
-        outs.append(histogram(melted.where(F.col("feature") == f), "v", b, [label], density=True)
-                    .withColumn("feature", F.lit(f)))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+    return histogram(melted, "v", "bins", ["feature", label], density=True)
 
 
 def pkt_rate_box(windows: DataFrame, label: str = "Label", hi: float = 5000.0) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
+    LinearSVCModel,
     LogisticRegression,
     LogisticRegressionModel,
     OneVsRest,
@@ -59,10 +60,11 @@ def temporal_split(windows: DataFrame, frac: float = TRAIN_FRACTION, label: str
     return r.withColumn("split", F.when(F.col("_cr") < cut, F.lit("train")).otherwise(F.lit("test"))).drop("_cr", "_cn")
 
 
-def class_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
-    """M3: balanced sample weights n / (k * n_c). The per-class counts have one row
+def class_weights(df: DataFrame, label: str = LABEL, out: str = "weight", train: DataFrame | None = None) -> DataFrame:
+    """M3: balanced sample weights n / (k * n_c), counted over ``train`` (``df`` itself by
+    default); a class that is not in it has weight null. The per-class counts have one row
     per class (bounded by the class list): broadcast."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    counts = (df if train is None else train).groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
     return df.join(F.broadcast(w), label, "left")
@@ -111,9 +113,11 @@ def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
 
 def prepare(windows: DataFrame, stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Split, weight, scale (scaler fitted on train) and assemble both vectors."""
-    sp = class_weights(temporal_split(windows))
+    sp = temporal_split(windows)
+    train = sp.where(F.col("split") == "train")
+    sp = class_weights(sp, train=train)
     if stats is None:
-        stats = fit_scaler(sp.where(F.col("split") == "train"))
+        stats = fit_scaler(train)
     z = apply_scaler(sp, stats)
     z = assemble(feature_columns(z), out="features")
     z = assemble(z, out="scaled", prefix="_z_")
@@ -164,6 +168,15 @@ def ensemble_proba(parts: Sequence[Column]) -> Column:
     return F.transform(acc, lambda x: x / k)
 
 
+def ensemble_scores(voters: Sequence[tuple], df: DataFrame) -> DataFrame:
+    """The soft vote of fitted (model, kind) members as column ``proba``."""
+    cols = []
+    for i, (model, kind) in enumerate(voters):
+        df = class_scores(model, kind, df).withColumnRenamed("proba", f"_p{i}").drop("rawPrediction", "probability", "prediction")
+        cols.append(F.col(f"_p{i}"))
+    return df.withColumn("proba", ensemble_proba(cols))
+
+
 def evaluate_scored(scored: DataFrame, kind: str, tune: DataFrame | None = None) -> dict:
     """Tune the decision rule on ``tune`` (default: the scored test rows, as the reference)
     and collect the small evaluation tables of ``scored``. Returns plain Python values
@@ -187,20 +200,24 @@ def evaluate_scored(scored: DataFrame, kind: str, tune: DataFrame | None = None)
 
 
 def feature_importance(model, name: str, cols: Sequence[str] = FEATURE_COLS) -> list[tuple[str, float]]:
-    """Tree importances, or the mean absolute coefficient over classes; [] if none."""
+    """Tree importances, or the mean absolute coefficient over classes, for one-vs-rest
+    models the mean over their members; a model without either gets 1/n for every feature."""
     if isinstance(model, tuple):
-        return []
+        members = [dict(feature_importance(m, name, cols)) for m in model[0].models]
+        return [(c, sum(m[c] for m in members) / len(members)) for c in cols]
+    if isinstance(model, LinearSVCModel):
+        return list(zip(cols, [abs(float(x)) for x in model.coefficients.toArray()]))
     if hasattr(model, "featureImportances"):
         v = model.featureImportances.toArray()
         return list(zip(cols, [float(x) for x in v]))
     if isinstance(model, LogisticRegressionModel):
         m = model.coefficientMatrix.toArray()
         return list(zip(cols, [float(x) for x in abs(m).mean(axis=0)]))
-    return []
+    return [(c, 1.0 / len(cols)) for c in cols]
 
 
 def importance_top(imp: DataFrame, k: int = 15) -> DataFrame:
-    """Top-k features per model; a model without importances gets 1/31 for every feature."""
+    """Top-k features per model (ties by name)."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")
@@ -241,18 +258,13 @@ def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble:
     if ensemble:
         members = [n for n in ("Random Forest", "Logistic Regression", "Gradient Boosting") if n in models]
         if len(members) >= 2:
-            t0 = time.time()
-            scored = test
-            cols = []
-            for i, m in enumerate(members):
-                model, kind = models[m]
-                scored = class_scores(model, kind, scored).withColumnRenamed("proba", f"_p{i}").drop(
-                    "rawPrediction", "probability", "prediction")
-                cols.append(F.col(f"_p{i}"))
-            scored = scored.withColumn("proba", ensemble_proba(cols))
-            ev = evaluate_scored(scored, "proba")
+            voters = [models[m] for m in members]
+            tune = ensemble_scores(voters, train) if tune_on == "train" else None
+            ev = evaluate_scored(ensemble_scores(voters, test), "proba", tune)
+            # the members are fitted once and shared: the vote's fit is the sum of theirs
+            secs = sum(results[m]["train_time"] for m in members)
             fi = results["Random Forest"]["fi"] if "Random Forest" in results else []
-            results["Ensemble (Soft Voting)"] = {**ev, "train_time": round(time.time() - t0, 4), "fi": fi,
+            results["Ensemble (Soft Voting)"] = {**ev, "train_time": round(secs, 4), "fi": fi,
                                                  "members": members}
     data.unpersist()
     return {"models": models, "stats": stats, "results": results}
@@ -347,13 +359,7 @@ def score_windows(bundle: dict, windows: DataFrame, model_name: str | None = Non
     z = assemble(feature_columns(z), out="features")
     z = assemble(z, out="scaled", prefix="_z_")
     if m["kind"] == "ensemble":
-        cols, scored = [], z
-        for i, member in enumerate(m["members"]):
-            model, kind = bundle["models"][member]
-            scored = class_scores(model, kind, scored).withColumnRenamed("proba", f"_p{i}").drop(
-                "rawPrediction", "probability", "prediction")
-            cols.append(F.col(f"_p{i}"))
-        scored = scored.withColumn("proba", ensemble_proba(cols))
+        scored = ensemble_scores([bundle["models"][member] for member in m["members"]], z)
         kind = "proba"
     else:
         model, kind = bundle["models"][name]
@@ -361,7 +367,8 @@ def score_windows(bundle: dict, windows: DataFrame, model_name: str | None = Non
         kind = "score" if kind == "score" else "proba"
     if kind == "score":
         pred = D.argmax("score") if rule == "argmax" else D.decide_bias("score", m["bias"] or 0.0)
-        conf = D.confidence_abs_max("score")
+        # the dashboard path has no confidence for a model without probabilities
+        conf = F.lit(float("nan")) if rule == "argmax" else D.confidence_abs_max("score")
         out = scored.withColumn("pred", pred).withColumn("confidence", np_round(conf, 4))
     else:
         pred = D.argmax("proba") if rule == "argmax" else D.decide_threshold("proba", m["threshold"] or 0.5)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.constants import CLASS_NAMES, SNAPSHOT_EVERY, TIMELINE_LEN
+from flowlens.functions.packet import py_round
 from flowlens.operators.rank import running_sums
 
 
@@ -36,7 +37,7 @@ def running_counters(pred: DataFrame, order_by: tuple[str, str], name: str = "pr
 def timeline_tail(counters: DataFrame, conf: str = "confidence", name: str = "prediction", n: int = TIMELINE_LEN) -> DataFrame:
     """The last ``n`` windows: label W<i>, confidence under normal or threat (3 decimals)."""
     total = counters.agg(F.max("win_idx").alias("_tot"))
-    c = F.bround(F.col(conf), 3)
+    c = py_round(conf, 3)
     is_t = F.col(name) != "Normal"
     return counters.crossJoin(F.broadcast(total)).where(F.col("win_idx") > F.col("_tot") - n).select(
         "win_idx", F.concat(F.lit("W"), F.col("win_idx").cast("string")).alias("label"),

@@ -12,7 +12,8 @@ from flowlens.operators.rank import packet_rank
 
 
 def portable_hash(c: Column | str, seed: int = RANDOM_SEED) -> Column:
-    """Deterministic sampling order, expressible in any SQL engine: (x*7919 + seed*104729) % 1000003."""
+    """A sampling order that any SQL engine can state, for checks only: (x*7919 + seed*104729) % 1000003 keeps
+    runs of neighbours together."""
     x = F.col(c) if isinstance(c, str) else c
     return ((x * F.lit(7919) + F.lit(seed * 104729)) % F.lit(1000003)).cast("bigint")
 
@@ -25,32 +26,31 @@ def downsample(
     labels: Sequence[int] | None = DOWNSAMPLE_LABELS,
     label_col: str = "label",
     id_col: str = "no",
+    order: Column | None = None,
 ) -> DataFrame:
     """Exact-size sample without replacement of each listed label:
     ``keep = max(floor(n*frac), min_keep) if n > min_keep else n``; other labels whole.
 
-    Rows are ordered per label by a seeded hash of their id and the first ``keep`` are
-    kept, using the keyed two-level rank (no single-partition window, no driver loop).
-    ``labels=None`` thins every label.
+    Rows are ordered per label by a seeded hash of their capture (when there is one) and id, or by ``order``,
+    and the first ``keep`` are kept, using the keyed two-level rank (no single-partition window, no driver loop;
+    one plan whatever the counts). ``labels=None`` thins every label; rows without a label are kept.
     """
-    listed = F.lit(True) if labels is None else F.col(label_col).isin(list(labels))
-    # one row per label (bounded by the label set): which labels actually need thinning
-    counts = df.where(listed).groupBy(label_col).agg(F.count(F.lit(1)).alias("_nl")).collect()
-    thin = [r[label_col] for r in counts if r["_nl"] > min_keep]
-    if not thin:
-        return df  # every listed label is kept whole: no rank pass at all
-    is_thin = F.col(label_col).isin(thin)
-    h = df.where(is_thin).withColumn("_h", portable_hash(id_col, seed).cast("double"))
+    listed = F.lit(True) if labels is None else F.coalesce(F.col(label_col).isin(list(labels)), F.lit(False))
+    if order is None:
+        order = F.xxhash64(*[c for c in ("capture",) if c in df.columns], id_col, F.lit(seed))
+    h = df.where(listed).withColumn("_h", order.cast("double"))
     ranked = packet_rank(h, order_by=("_h", id_col), rank_col="_r", keys=[label_col], total_col="_nl")
     n = F.col("_nl")
-    keep = F.greatest(F.floor(n * F.lit(float(sample_frac))), F.lit(min_keep))
+    keep = F.when(n > min_keep, F.greatest(F.floor(n * F.lit(float(sample_frac))), F.lit(min_keep))).otherwise(n)
     kept = ranked.where(F.col("_r") < keep).drop("_h", "_r", "_nl")
-    return df.where(~is_thin | is_thin.isNull()).unionByName(kept)
+    return df.where(~listed).unionByName(kept)
 
 
-def sample_series(windows: DataFrame, n: int = 500, seed: int = RANDOM_SEED) -> DataFrame:
-    """D3: at most ``n`` windows in seeded-hash order (top-k, no full sort), by time_start."""
-    picked = windows.withColumn("_h", portable_hash("window_idx", seed)).orderBy("_h", "window_idx").limit(n)
+def sample_series(windows: DataFrame, n: int = 500, seed: int = RANDOM_SEED, order: Column | None = None) -> DataFrame:
+    """D3: at most ``n`` windows in seeded-hash order (top-k, no full sort) or by ``order``, by time_start."""
+    if order is None:
+        order = F.xxhash64("window_idx", F.lit(seed))
+    picked = windows.withColumn("_h", order).orderBy("_h", "window_idx").limit(n)
     # at most n rows: the final time sort is small
     return picked.drop("_h").orderBy("time_start", "window_idx")
 

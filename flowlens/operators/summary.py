@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.constants import (
@@ -13,7 +13,7 @@ from flowlens.constants import (
     SUMMARY_SAMPLE,
     SUMMARY_STAT_FEATURES,
 )
-from flowlens.functions.packet import class_name, exact_avg
+from flowlens.functions.packet import class_name, exact_avg, py_round
 from flowlens.operators.eda import exact_percentiles, histogram
 from flowlens.operators.sample import sample_series
 
@@ -30,7 +30,7 @@ def summary_kpi(windows: DataFrame, label: str = "Label") -> DataFrame:
         F.sum("pkt_count").cast("bigint").alias("total_packets"),
         F.sum(F.when(F.col(label) != 0, 1).otherwise(0)).cast("bigint").alias("attack_windows"),
         F.count_distinct(label).alias("n_classes"),
-    ).withColumn("attack_pct", F.bround(F.col("attack_windows") * 100.0 / F.greatest(F.col("total_windows"), F.lit(1)), 1))
+    ).withColumn("attack_pct", py_round(F.col("attack_windows") * 100.0 / F.greatest(F.col("total_windows"), F.lit(1)), 1))
 
 
 def summary_class_dist(windows: DataFrame, label: str = "Label") -> DataFrame:
@@ -41,14 +41,14 @@ def summary_class_dist(windows: DataFrame, label: str = "Label") -> DataFrame:
     j = dim.join(counts, dim["class_id"] == counts[label], "left").crossJoin(F.broadcast(total))
     c = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
     return j.select("class_id", "class_name", c.alias("count"),
-                    F.bround(c * 100.0 / F.greatest(F.col("_t"), F.lit(1)), 1).alias("pct"))
+                    py_round(c * 100.0 / F.greatest(F.col("_t"), F.lit(1)), 1).alias("pct"))
 
 
 def summary_stats(windows: DataFrame, label: str = "Label", feats=SUMMARY_STAT_FEATURES) -> DataFrame:
-    """Per present class, the mean of the key features (4 decimals, half-even)."""
+    """Per present class, the mean of the key features (4 decimals)."""
     present = windows.where(F.col(label).isin(list(CLASS_NAMES)))
     return present.groupBy(label).agg(
-        F.count(F.lit(1)).alias("count"), *[F.bround(exact_avg(f), 4).alias(f) for f in feats]
+        F.count(F.lit(1)).alias("count"), *[py_round(exact_avg(f), 4).alias(f) for f in feats]
     ).withColumn("class_name", class_name(label))
 
 
@@ -66,21 +66,16 @@ def summary_hists(windows: DataFrame, label: str = "Label", feats=SUMMARY_HIST_F
     x = cls.select(label, melt.alias("m")).select(label, "m.feature", "m.v")
     # one row per feature: fixed size, broadcast
     clipped = x.join(F.broadcast(cap), "feature").select("feature", label, F.least(F.col("v"), F.col("_cap")).alias("v"))
-    outs = [histogram(clipped.where(F.col("feature") == f), "v", bins, [label]).withColumn("feature", F.lit(f))
-            for f in feats]
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res.withColumn("class_name", class_name(label))
+    return histogram(clipped, "v", bins, ["feature", label]).withColumn("class_name", class_name(label))
 
 
-def summary_series(windows: DataFrame, label: str = "Label", n: int = SUMMARY_SAMPLE) -> DataFrame:
+def summary_series(windows: DataFrame, label: str = "Label", n: int = SUMMARY_SAMPLE, order: Column | None = None) -> DataFrame:
     """<= 500 sampled windows (D3) with rounded values and class name."""
-    s = sample_series(windows.select("window_idx", "time_start", "pkt_rate", "syn_ratio", label).dropna(), n)
+    s = sample_series(windows.select("window_idx", "time_start", "pkt_rate", "syn_ratio", label).dropna(), n, order=order)
     return s.orderBy("time_start", "window_idx").select(
         "window_idx",
-        F.bround("time_start", 3).alias("t"),
-        F.bround("pkt_rate", 2).alias("pkt_rate"),
-        F.bround("syn_ratio", 4).alias("syn_ratio"),
+        py_round("time_start", 3).alias("t"),
+        py_round("pkt_rate", 2).alias("pkt_rate"),
+        py_round("syn_ratio", 4).alias("syn_ratio"),
         class_name(label).alias("label"),
     )

@@ -10,7 +10,7 @@ from flowlens.constants import CLASS_NAMES, FEATURE_COLS
 from flowlens.functions.packet import time_label
 from flowlens.operators import eda, summary
 from flowlens.operators.packet_features import iat_raw
-from flowlens.operators.sample import bootstrap_class_dist
+from flowlens.operators.sample import bootstrap_class_dist, portable_hash
 from flowlens.plans import oracle as O
 from flowlens.plans.queries_prep import TIMELINE, sql, timeline, training_packets
 from flowlens.operators.windows import window_features
@@ -150,7 +150,7 @@ def q_describe(spark, sf):
 # ------------------------------------------------------------------ dashboard summary
 @register("summary_kpi", sql(*TRAIN, final="""SELECT count(*) AS total_windows, CAST(sum(pkt_count) AS BIGINT) AS total_packets,
     CAST(sum(CASE WHEN Label <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS attack_windows, count(DISTINCT Label) AS n_classes,
-    round_even(sum(CASE WHEN Label <> 0 THEN 1 ELSE 0 END) * 100.0 / greatest(count(*), 1), 1) AS attack_pct
+    CAST(printf('%.1f', CAST(sum(CASE WHEN Label <> 0 THEN 1 ELSE 0 END) * 100.0 / greatest(count(*), 1) AS DOUBLE)) AS DOUBLE) AS attack_pct
     FROM windows"""), ["attack_pct"])
 def q_summary_kpi(spark, sf):
     return summary.summary_kpi(train_windows(spark, sf))
@@ -161,14 +161,14 @@ _CLS = " UNION ALL ".join(f"SELECT {k} AS class_id, '{v}' AS class_name" for k,
 
 @register("summary_class_dist", sql(*TRAIN, f"cls AS ({_CLS})", "wc AS (SELECT Label, count(*) AS c FROM windows GROUP BY Label)",
                                     final="""SELECT class_id, class_name, coalesce(c, 0) AS count,
-    round_even(coalesce(c, 0) * 100.0 / greatest((SELECT count(*) FROM windows), 1), 1) AS pct
+    CAST(printf('%.1f', CAST(coalesce(c, 0) * 100.0 / greatest((SELECT count(*) FROM windows), 1) AS DOUBLE)) AS DOUBLE) AS pct
     FROM cls LEFT JOIN wc ON wc.Label = cls.class_id"""), ["pct"])
 def q_summary_class_dist(spark, sf):
     return summary.summary_class_dist(train_windows(spark, sf))
 
 
 @register("summary_stats", sql(*TRAIN, final=f"""SELECT Label, count(*) AS count,
-    {', '.join(f'round_even(CAST(sum(CAST({f} AS DECIMAL(38, 10))) AS DOUBLE) / count({f}), 4) AS {f}' for f in summary.SUMMARY_STAT_FEATURES)},
+    {', '.join(f'CAST(printf(\'%.4f\', CAST(sum(CAST({f} AS DECIMAL(38, 10))) AS DOUBLE) / count({f})) AS DOUBLE) AS {f}' for f in summary.SUMMARY_STAT_FEATURES)},
     {O.CLASS_CASE.format(c='Label')} AS class_name FROM windows WHERE Label IN (0, 1, 2, 3, 4) GROUP BY Label"""),
           summary.SUMMARY_STAT_FEATURES)
 def q_summary_stats(spark, sf):
@@ -192,12 +192,12 @@ def q_summary_hists(spark, sf):
     return summary.summary_hists(train_windows(spark, sf))
 
 
-@register("summary_series", sql(*TRAIN, final=f"""SELECT window_idx, round_even(time_start, 3) AS t,
-    round_even(pkt_rate, 2) AS pkt_rate, round_even(syn_ratio, 4) AS syn_ratio, {O.CLASS_CASE.format(c='Label')} AS label
+@register("summary_series", sql(*TRAIN, final=f"""SELECT window_idx, CAST(printf('%.3f', time_start) AS DOUBLE) AS t,
+    CAST(printf('%.2f', pkt_rate) AS DOUBLE) AS pkt_rate, CAST(printf('%.4f', syn_ratio) AS DOUBLE) AS syn_ratio, {O.CLASS_CASE.format(c='Label')} AS label
     FROM windows ORDER BY (window_idx * 7919 + 42 * 104729) % 1000003, window_idx LIMIT 500"""),
           ["t", "pkt_rate", "syn_ratio"])
 def q_summary_series(spark, sf):
-    return summary.summary_series(train_windows(spark, sf))
+    return summary.summary_series(train_windows(spark, sf), order=portable_hash("window_idx"))
 
 
 @register("time_labels", sql(*TRAIN, final="""SELECT window_idx, time_start,

@@ -266,7 +266,7 @@ def predictions(spark, sf):
 
 
 def counters(spark, sf):
-    return R.running_counters(predictions(spark, sf).withColumn("_t", F.col("ts").cast("timestamp").cast("double")),
+    return R.running_counters(predictions(spark, sf).withColumn("_t", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").cast("double")),
                               order_by=("_t", "event_id")).drop("_t")
 
 
@@ -286,8 +286,8 @@ def q_running_counters(spark, sf):
 
 
 @register("timeline_120", sql(SCORED, PRED, COUNTERS, final="""SELECT win_idx, 'W' || CAST(win_idx AS VARCHAR) AS label,
-    CASE WHEN prediction <> 'Normal' THEN 0.0 ELSE round_even(confidence, 3) END AS normal,
-    CASE WHEN prediction <> 'Normal' THEN round_even(confidence, 3) ELSE 0.0 END AS threat
+    CASE WHEN prediction <> 'Normal' THEN 0.0 ELSE CAST(printf('%.3f', confidence) AS DOUBLE) END AS normal,
+    CASE WHEN prediction <> 'Normal' THEN CAST(printf('%.3f', confidence) AS DOUBLE) ELSE 0.0 END AS threat
     FROM ctr WHERE win_idx > (SELECT max(win_idx) FROM ctr) - 120"""), ["normal", "threat"])
 def q_timeline(spark, sf):
     return R.timeline_tail(counters(spark, sf))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowlens.constants import FEATURE_COLS
@@ -33,8 +35,8 @@ tr AS (SELECT * FROM spl WHERE split = 'train'),
 cw AS (SELECT Label, count(*) AS nc FROM tr GROUP BY Label)""", final="""SELECT tr.window_idx, tr.Label,
     (SELECT count(*) FROM tr) / ((SELECT count(*) FROM cw) * cw.nc) AS weight FROM tr JOIN cw USING (Label)"""), ["weight"])
 def q_weights(spark, sf):
-    tr = ml.temporal_split(train_windows(spark, sf)).where(F.col("split") == "train")
-    return ml.class_weights(tr).select("window_idx", "Label", "weight")
+    data, _ = ml.prepare(train_windows(spark, sf))
+    return data.where(F.col("split") == "train").select("window_idx", "Label", "weight")
 
 
 _STD = " UNION ALL ".join(
@@ -53,7 +55,9 @@ def q_standardize(spark, sf):
     return st.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-@register("feature_vector")
+@register("feature_vector", sql(*TRAIN, final="SELECT window_idx, Label, ["
+                                + ", ".join(f"CAST(coalesce(CAST({c} AS FLOAT), 0) AS FLOAT)" for c in FEATURE_COLS)
+                                + "] AS features FROM windows"))
 def q_feature_vector(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
@@ -76,7 +80,7 @@ def q_predict_rf(spark, sf):
     from flowlens.operators.windows import window_features
 
     tr = ml.train_all(train_windows(spark, sf), ["Random Forest"], ensemble=False)
-    path = shared_path(spark, "bundle-rf")
+    path = shared_path(spark, f"bundle-rf-{uuid.uuid4().hex}")
     ml.save_bundle(path, tr, "Random Forest")
     bundle = ml.load_bundle(spark, path)
     w = window_features(packet_features(clean(spark, sf)))

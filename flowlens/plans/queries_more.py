@@ -3,6 +3,8 @@ feature-table round trips, class filter, global sort, DT/ensemble training, stre
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowlens.constants import CLASS_NAMES
@@ -118,7 +120,7 @@ def q_importance(spark, sf):
 
 def _rf_bundle(spark, sf):
     tr = ml.train_all(train_windows(spark, sf), ["Random Forest"], ensemble=False)
-    path = shared_path(spark, "bundle-rf-dash")
+    path = shared_path(spark, f"bundle-rf-dash-{uuid.uuid4().hex}")
     ml.save_bundle(path, tr, "Random Forest")
     return ml.load_bundle(spark, path)
 

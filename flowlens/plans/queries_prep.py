@@ -16,7 +16,7 @@ from flowlens.operators.label import (
 )
 from flowlens.operators.packet_features import packet_features, parse_packets
 from flowlens.operators.rank import packet_rank
-from flowlens.operators.sample import downsample
+from flowlens.operators.sample import downsample, portable_hash
 from flowlens.operators.timeline import merge_timeline
 from flowlens.operators.windows import window_features
 from flowlens.plans import oracle as O
@@ -157,7 +157,7 @@ DS_PARAMS = dict(sample_frac=0.5, min_keep=100, labels=[0, 1, 4])
     ["time", "global_time"],
 )
 def q_downsample(spark, sf):
-    return downsample(timeline(spark, sf), **DS_PARAMS)
+    return downsample(timeline(spark, sf), **DS_PARAMS, order=portable_hash("no"))
 
 
 @register(

@@ -1,5 +1,4 @@
 from flowlens.sources.packets import (  # noqa: F401
-    PACKET_CSV_SCHEMA,
     events_as_packets,
     read_packets_csv,
     read_packets_parquet,

@@ -9,23 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Packet CSV as exported by a capture tool: every field is read as text and
-# coerced later with try_cast, so one bad value never aborts the scan.
-PACKET_CSV_SCHEMA = T.StructType(
-    [
-        T.StructField("No.", T.StringType()),
-        T.StructField("Time", T.StringType()),
-        T.StructField("Source", T.StringType()),
-        T.StructField("Destination", T.StringType()),
-        T.StructField("Protocol", T.StringType()),
-        T.StructField("Length", T.StringType()),
-        T.StructField("Info", T.StringType()),
-    ]
-)
-
-# Strings a pandas CSV reader treats as missing; normalised to null at the scan.
+
+# FIXED VALUES: strings a pandas CSV reader treats as missing; normalised to null at the scan.
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
@@ -39,10 +24,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_packets_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a packet CSV with a fixed schema (no inference) into T1."""
-    raw = spark.read.schema(PACKET_CSV_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Scan a packet CSV as a capture tool exports it into T1.
+
+    Columns are found by their names in the header, in any order and among others; files of one path must agree
+    on it (a file that doesn't raises an error). ``No.`` may be missing (null). Every field is read as text and
+    coerced later with try_cast, so one bad value never aborts the scan. A quote inside a field is doubled.
+    """
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+           .option("quote", '"').option("escape", '"').csv(path))
+    no = F.col("`No.`").try_cast("bigint") if "No." in raw.columns else F.lit(None).cast("bigint")
     return raw.select(
-        F.col("`No.`").try_cast("bigint").alias("no"),
+        no.alias("no"),
         _na_to_null(F.col("Time")).alias("time"),
         _na_to_null(F.col("Source")).alias("source"),
         _na_to_null(F.col("Destination")).alias("destination"),
