@@ -8,12 +8,17 @@ over the domains.
 Rates r >= 0 of the documents are then fitted so that the expected tokens of each domain,
 S_d = sum r n p_d, match the targets T_d: projected gradient on 1/2 sum (S_d - T_d)^2 / M_d from
 r = 1, where M_d are the tokens at rate 1. With the token-weighted metric the step of a document is
-r <- max(0, r - sum_d p_d (S_d - T_d) / M_d), stable at step 1 since the p of a document sum to 1. A
+r <- max(0, r - sum_d p_d (S_d - T_d) / M_d), stable at step 1 since the p of a document sum to 1. M_d
+is taken anew each pass over the documents with r > 0, the only ones a step moves: with the tokens of
+all, a domain whose documents mostly fell to 0 would creep to its target (sf0.01: 78 passes, not 13). A
 pass is one aggregate with a row per domain; a document's rate is a function of its own p and of
 the passes' residuals, so no state is kept or shuffled and nothing is lost with an executor.
 
 ``targets`` are weights of domains; the ``anchor`` domain keeps its tokens (one epoch) and so fixes
-the size of the mix; no domain's target is more than ``MAX_EPOCHS`` times its own tokens. Copies of a document are floor(r + u) with u from a hash of its id.
+the size of the mix. A scarce domain is repeated as often as its weight asks; ``max_epochs`` bounds the
+repeats by scaling the whole mix down to the scarcest domain, so the weights hold then too. Copies of
+a document are floor(r + u) with u from a hash of its id. ``mixing_totals`` tells goals and reached totals;
+a fit that misses its goals warns.
 
 Defined results: a null or empty text has no tokens and the model's intercept as posteriors; with
 fewer than two labelled domains the posteriors are uniform; a domain without any mass cannot be raised and is left out; repeated
@@ -24,6 +29,7 @@ empty result; extra columns pass through ``mix`` untouched (helper columns start
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -40,7 +46,6 @@ SLOTS = 1 << 14
 FIT_ROWS = 20_000
 REGULARISATION = 3e-4
 FIT_ITERATIONS = 60
-MAX_EPOCHS = 1.0
 MAX_PASSES = 40
 TOLERANCE = 1e-4
 
@@ -94,6 +99,7 @@ def _residual_step(residual: list[float]) -> Column:
 @dataclass
 class Rates:
     steps: list[list[float]]  # per pass and domain: (S_d - T_d) / M_d
+    own: dict[str, float]
     goal: dict[str, float]
     reached: dict[str, float]
 
@@ -105,29 +111,41 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, anchor: str = "clean",
-              max_epochs: float = MAX_EPOCHS, passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
+              max_epochs: float | None = None, passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
     """members: rows with ``_p3_n`` and ``_p3_p``."""
     targets = TARGETS if targets is None else targets
-    rates = Rates([], {}, {})
-
-    def masses() -> list[float]:
-        r = rates.column() * F.col("_p3_n")
-        row = members.agg(*[F.coalesce(F.sum(r * F.get(F.col("_p3_p"), F.lit(d))), F.lit(0.0)) for d in range(len(DOMAINS))]).first()
-        return [float(x) for x in row]
-
-    mass = masses()
+    rates = Rates([], {}, {}, {})
+    each = range(len(DOMAINS))
+
+    def masses() -> tuple[list[float], list[float]]:
+        """Per domain: tokens at the rates so far, own tokens of the documents with a rate above 0."""
+        m = members.select(rates.column().alias("_p3_r"), "_p3_n", "_p3_p")
+        tokens = [F.col("_p3_n") * F.get(F.col("_p3_p"), F.lit(d)) for d in each]
+        row = m.agg(*[F.coalesce(F.sum(F.col("_p3_r") * t), F.lit(0.0)) for t in tokens],
+                    *[F.coalesce(F.sum(F.when(F.col("_p3_r") > 0, t)), F.lit(0.0)) for t in tokens]).first()
+        return [float(x) for x in row[: len(DOMAINS)]], [float(x) for x in row[len(DOMAINS):]]
+
+    mass, live = masses()
     base = mass[DOMAINS.index(anchor)]
     if base <= 0 or targets.get(anchor, 0) <= 0:
         return rates
-    goal = [min(base / targets[anchor] * targets.get(d, 0.0), max_epochs * m) for d, m in zip(DOMAINS, mass)]
+    goal = [base / targets[anchor] * targets.get(d, 0.0) for d in DOMAINS]
+    if max_epochs is not None:
+        part = min([1.0] + [max_epochs * m / g for m, g in zip(mass, goal) if m > 0 and g > 0])
+        goal = [g * part for g in goal]
     now = mass
+
+    def missed() -> bool:
+        return max(abs(s - g) for s, g, m in zip(now, goal, mass) if m > 0) > tolerance * math.fsum(goal)
+
     for _ in range(passes):
-        step = [(s - g) / m if m > 0 else 0.0 for s, g, m in zip(now, goal, mass)]
-        if max(abs(s - g) for s, g, m in zip(now, goal, mass) if m > 0) <= tolerance * math.fsum(goal):
+        if not missed():
             break
-        rates.steps.append(step)
-        now = masses()
-    rates.goal, rates.reached = dict(zip(DOMAINS, goal)), dict(zip(DOMAINS, now))
+        rates.steps.append([(s - g) / (w if w > 0 else m) if m > 0 else 0.0 for s, g, m, w in zip(now, goal, mass, live)])
+        now, live = masses()
+    rates.own, rates.goal, rates.reached = (dict(zip(DOMAINS, x)) for x in (mass, goal, now))
+    if missed() or any(g > 0 and m <= 0 for g, m in zip(goal, mass)):
+        warnings.warn(f"mixing misses its targets: goal {rates.goal}, reached {rates.reached}", stacklevel=2)
     return rates
 
 
@@ -148,6 +166,14 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
                       "rate", copies(F.col("rate")).alias("copies"))
 
 
+def mixing_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """One row per domain: its tokens, its goal and the expected tokens that the rates reach."""
+    model = fit_classifier(docs, labels)
+    r = fit_rates(cut(model.posteriors(docs.select("text"), F.col("text")).drop("text")), targets)
+    rows = [(d, r.own[d], r.goal[d], r.reached[d]) for d in DOMAINS if d in r.goal]
+    return docs.sparkSession.createDataFrame(rows, "domain string, own double, goal double, reached double")
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The mixed corpus: every document as often as its copies, with the columns it came with.
     Posteriors are computed again beside the text, which is cheaper than joining them to it."""

@@ -92,6 +92,27 @@ def test_mixing_keeps_columns(docs, labels):
     assert mixing.mix(docs, labels).columns == docs.columns
 
 
+def test_mixing_scarce_domain(spark):
+    # two low and one toxic document of 400: far less than 5 % and 1 % of the mix
+    def word(i):
+        return "bad" if i in (7, 8) else "vile" if i == 9 else "fine"
+
+    docs = spark.createDataFrame([(i, f"{word(i)} {word(i)} text {i % 5}") for i in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(word(i) != "bad"), int(word(i) == "vile")) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    rows = mixing.mixing_rates(docs, labels).collect()
+    mass = {d: sum(r.n_tokens * r[f"p_{d}"] for r in rows) for d in mixing.DOMAINS}
+    got = {d: sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rows) for d in mass}
+    for d, w in mixing.TARGETS.items():
+        assert abs(got[d] - mass["clean"] / 0.94 * w) < 0.002 * mass["clean"]
+    assert max(r.copies for r in rows) > 1
+    totals = {r.domain: r for r in mixing.mixing_totals(docs, labels).collect()}
+    assert all(abs(totals[d].reached - got[d]) < 1e-6 * mass["clean"] and abs(totals[d].own - mass[d]) < 1e-6 * mass["clean"] for d in got)
+    # repeats bounded: a smaller mix of the same weights
+    members = spark.createDataFrame([(r.n_tokens, [r.p_clean, r.p_low, r.p_toxic]) for r in rows], "_p3_n bigint, _p3_p array<double>")
+    r = mixing.fit_rates(members, max_epochs=1.0)
+    assert all(r.goal[d] <= 1.0001 * r.own[d] for d in r.goal) and abs(r.goal["low"] / sum(r.goal.values()) - 0.05) < 1e-9
+
+
 def test_scores(docs):
     r = {x.doc_id: x for x in hpylm.score_documents(docs).collect()}
     assert r[3].n_tokens == 1 and r[5].n_tokens == 20001 and r[5].score > r[5].base_score
