@@ -2,11 +2,12 @@
 
 Every text gets a few badness scores. For each stratum (language) and score, the cutoff is
 chosen from a fixed grid by exact binomial tests on the labelled documents: a cutoff is
-certified when "it rejects more than ``alpha`` of the good documents" can be refused at the
-corrected level. Inside one (stratum, score) the grid is walked from lenient to strict and
+certified when "it rejects more than its share of the good documents" can be refused at the
+corrected level; the share is ``alpha`` divided by the number of the stratum's scores, as a document
+goes when it exceeds any of the cutoffs. Inside one (stratum, score) the grid is walked from lenient to strict and
 stops at the first failure (fixed-sequence testing, no correction needed); over strata and
-scores the level is divided (Bonferroni). So with probability 1 - delta every cutoff in force
-falsely rejects at most ``alpha`` of its stratum. Among the certified cutoffs the one that rejects most
+scores the level is divided (Bonferroni). So with probability 1 - delta all cutoffs in force
+in a stratum together falsely reject at most ``alpha`` of it. Among the certified cutoffs the one that rejects most
 bad documents for its good ones is used, the lenient one on a tie. A stratum with too few
 labelled documents has no certified cutoff and the method rejects nothing there.
 
@@ -19,6 +20,7 @@ columns pass through ``filter_quality`` untouched (helper columns start with ``_
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,12 +152,13 @@ def pick_cutoffs(hist: list[tuple], alpha: float = ALPHA, delta: float = DELTA)
         t[1, g] += bad
     out = []
     level = delta / max(1, len(table))
+    n_scores = Counter(stratum for stratum, _ in table)
     for (stratum, score), t in sorted(table.items()):
         n_good, n_bad = int(t[0].sum()), int(t[1].sum())
         good, bad = np.cumsum(t[0]), np.cumsum(t[1])  # rejected at each cutoff
         best, gain = None, 0.0
         for g, cutoff in enumerate(GRID):
-            if n_good == 0 or binomial_cdf(int(good[g]), n_good, alpha) > level:
+            if n_good == 0 or binomial_cdf(int(good[g]), n_good, alpha / n_scores[stratum]) > level:
                 break
             value = bad[g] / max(1, n_bad) - GOOD_COST * good[g] / n_good
             if value > gain + 1e-12:

@@ -65,6 +65,15 @@ def test_quality(docs, labels):
     assert not quality.pick_cutoffs([("en", "upper", len(quality.GRID), 200, 0), ("en", "upper", 3, 0, 50)])
 
 
+def test_quality_joint_risk():
+    # each score's cutoff rejects other good documents, 0.6 % each: 3 % of the stratum by any of the five
+    n, last = 10_000, len(quality.GRID)
+    hist = [x for s in quality.SCORES for x in (("en", s, last, n - 60, 0), ("en", s, 0, 60, 50))]
+    assert not quality.pick_cutoffs(hist)
+    hist = [x for s in quality.SCORES for x in (("en", s, last, n - 5, 0), ("en", s, 0, 5, 50))]
+    assert len(quality.pick_cutoffs(hist)) == 5
+
+
 def test_langid(docs):
     r = {x.doc_id: x for x in langid.identify(docs).collect()}
     assert r[3].lang_pred == "und" and r[4].lang_pred == "und" and 0 <= r[5].score <= 1
