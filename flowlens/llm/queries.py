@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.llm import hpylm, langid, mixing, partenum, pii, pstable, quality, subword, urlrules, warc
+from flowlens.llm import filteraudit, hpylm, langid, mixing, partenum, pii, pstable, quality, subword, urlrules, warc
 from flowlens.llm.common import read_table
 from flowlens.plans.registry import register
 
@@ -120,6 +120,40 @@ def op10(spark, sf):
     return subword.sample_segmentations(read_table(spark, sf, "documents"), TOKENIZER)
 
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+o AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+y AS (SELECT doc_id, bool_or(coalesce(quality, 0) = 1) AS good, bool_or(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT d.*, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM d),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(l) < 200 THEN 'A' ELSE '' END
+  || CASE WHEN 100 * len(list_distinct(l)) < 50 * len(l) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+  FROM w JOIN o USING (t) LEFT JOIN y USING (doc_id)),
+c AS (SELECT part, good, toxic, fails, count(*) AS n FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+p AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT c.*, filter_order, step, substr(filter_order, step, 1) AS x,
+  contains(fails, substr(filter_order, step, 1)) AS bad,
+  regexp_matches(substr(filter_order, 1, step - 1), '[' || fails || '_]') AS gone
+  FROM c, p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+t AS (SELECT part, filter_order, step, x, sum(CASE WHEN NOT bad AND NOT gone THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN bad AND gone THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN fails = x THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN bad AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+  sum(CASE WHEN bad AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM t"""
+
+
+@register("op12_filter_audit", AUDIT_SQL)
+def op12(spark, sf):
+    return filteraudit.audit_filters(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @register("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline
