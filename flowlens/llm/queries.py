@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.llm import filteraudit, hpylm, langid, mixing, partenum, pii, pstable, quality, subword, urlrules, warc
+from flowlens.llm import convrepair, filteraudit, hpylm, langid, mixing, partenum, pii, pstable, quality, subword, urlrules, warc
 from flowlens.llm.common import read_table
 from flowlens.plans.registry import register
 
@@ -154,6 +154,11 @@ def op12(spark, sf):
     return filteraudit.audit_filters(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+@register("op13_conversation_repair")
+def op13(spark, sf):
+    return convrepair.repair(convrepair.damage(read_table(spark, sf, "conversations")))
+
+
 @register("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline
