@@ -426,15 +426,15 @@ RESULT_NAMES = [c.split()[0] for c in RESULT.split(", ")]
 
 def _solve(rows: DataFrame, keep: bool) -> tuple[DataFrame, DataFrame]:
     """(whole conversations, repaired blocks of the others) of rows with copies."""
-    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
-    h = F.unhex(F.sha2("text", 256)).alias("h")
-    seen = rows.where("copies > 0").groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), h).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col("turn").isNull()).alias("nulls"), F.min("turn").alias("t"))
-    seen = seen.where("n > 1").drop("n")
+    keyed = rows.withColumn("h", F.unhex(F.sha2("text", 256)))
+    seen = keyed.where("copies > 0").groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("h").alias("k")).agg(
+        F.sum("copies").alias("n"), F.max(F.col("turn").isNull()).alias("nulls"), F.min("turn").alias("t"))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("h") == F.col("k"))
+    joined = keyed.join(seen.where("n > 1"), same, "left")
     later = F.when(F.col("nulls"), F.col("turn").isNotNull()).otherwise(F.col("turn") > F.col("t"))
-    flagged = rows.withColumn("h", h).alias("x").join(
-        seen.alias("y"), F.col("x.conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("x.h") == F.col("y.h")), "left"
-    ).select("conv_id", "turn", "role", "text", "copies", F.coalesce(later, F.lit(False)).alias("later"))
+    # only rows that occur again are summed up; all others move once, to their place
+    again = joined.where("n IS NOT NULL").groupBy("conv_id", "turn", "role", "text", later.alias("later")).agg(F.sum("copies").alias("copies"))
+    flagged = joined.where("n IS NULL").select("conv_id", "turn", "role", "text", "copies", F.lit(False).alias("later")).unionByName(again)
     keys = ["conv_id", "turn", "role", "text"]
     placed = flagged.repartitionByRange(*keys).sortWithinPartitions(*keys)
     pieces = cut(placed.mapInArrow(_blocks(keep), PIECE))
