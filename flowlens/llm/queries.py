@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.llm import convrepair, filteraudit, hpylm, langid, mixing, partenum, pii, pstable, quality, subword, urlrules, warc
+from flowlens.llm import convrepair, filteraudit, hpylm, langid, mixing, partenum, pii, pstable, quality, subword, suffixdedup, urlrules, warc
 from flowlens.llm.common import read_table
 from flowlens.plans.registry import register
 
@@ -149,6 +149,26 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM t"""
 
 
+REPEATS_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT r, i, md5(substr(x, 2 * i + 1, 800)) AS h FROM (SELECT r, x, unnest(range(0, length(x) // 2 - 399)) AS i FROM d)),
+g AS (SELECT h FROM p GROUP BY h HAVING count(*) > 1),
+q AS (SELECT r, i FROM p JOIN g USING (h)),
+b AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM q),
+s AS (SELECT r, min(i) AS lo, max(i) + 400 AS hi FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM b) GROUP BY r, run),
+k AS (SELECT d.r, d.x, s.lo, s.hi, coalesce(lag(s.hi) OVER (PARTITION BY d.r ORDER BY s.lo), 0) AS before FROM d JOIN s USING (r)),
+t AS (SELECT r, any_value(x) AS x, max(hi) AS last, count(*) AS n, sum(hi - lo) AS gone,
+  string_agg(substr(x, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS head FROM k GROUP BY r)
+SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(t.gone, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(t.n, 0) AS BIGINT) AS n_spans, sha256(unhex(CASE WHEN t.r IS NULL THEN d.x ELSE t.head || substr(t.x, 2 * t.last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (r)"""
+
+
+@register("op11_suffix_dedup", REPEATS_SQL)
+def op11(spark, sf):
+    return suffixdedup.strip_repeats(read_table(spark, sf, "documents"), keep=False)
+
+
 @register("op12_filter_audit", AUDIT_SQL)
 def op12(spark, sf):
     return filteraudit.audit_filters(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
