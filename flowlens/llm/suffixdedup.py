@@ -341,7 +341,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     scan = long_.select("tid", "text").mapInArrow(_scan, SCAN)
     where = F.xxhash64("tid", "place")
     shared = scan.groupBy("name").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x < y").select("name")
-    hits = cut(scan.join(shared, "name").distinct())
+    # an exchange of its own on both sides of the join, so that a hot anchor's places are split over tasks
+    shared = shared.coalesce(max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # copies of a text are one place; the new key leaves the join free to split a hot anchor
+    hits = cut(scan.join(shared, "name").groupBy("tid", "place").agg(*[F.first(c).alias(c) for c in ("name", "s1", "s2")]))
     kinds = cut(hits.groupBy("name", "s1", "s2").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("tid", "place")).alias("one")))
     reach = lambda x: (F.shiftright("place", 18) - F.shiftright("place", x).bitwiseAND(F.lit(511)))
     full = hits.join(kinds.where("n > 1").select("name", "s1", "s2"), ["name", "s1", "s2"]).select(
