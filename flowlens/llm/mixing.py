@@ -7,18 +7,20 @@ over the domains.
 
 Rates r >= 0 of the documents are then fitted so that the expected tokens of each domain,
 S_d = sum r n p_d, match the targets T_d: projected gradient on 1/2 sum (S_d - T_d)^2 / M_d from
-r = 1, where M_d are the tokens at rate 1. With the token-weighted metric the step of a document is
-r <- max(0, r - sum_d p_d (S_d - T_d) / M_d), stable at step 1 since the p of a document sum to 1. M_d
-is taken anew each pass over the documents with r > 0, the only ones a step moves: with the tokens of
-all, a domain whose documents mostly fell to 0 would creep to its target (sf0.01: 78 passes, not 13). A
-pass is one aggregate with a row per domain; a document's rate is a function of its own p and of
-the passes' residuals, so no state is kept or shuffled and nothing is lost with an executor.
+r = 1, where M_d are the tokens at rate 1. A step moves a document against p and is cut off at 0:
+r <- max(0, r - p . g). Two gradients g are known after a pass: the plain one, (S_d - T_d) / M_d with M_d over the
+documents with r > 0, which never overshoots as the p of a document sum to 1; and the one scaled by the
+Gram matrix sum n p p' of those documents, which meets the targets at once unless further rates reach 0. The
+scaled one is taken, and the plain one after a pass that did not bring the objective down. The fit ends when the
+targets are met, or when the objective no longer falls: the targets are then out of reach and the rates are the least-squares
+ones. A pass is one aggregate with a few numbers per domain; every ``CUT_PASSES`` passes the rates are written
+to the shared folder as a column, so no plan grows with the passes and nothing is lost with an executor.
 
 ``targets`` are weights of domains; the ``anchor`` domain keeps its tokens (one epoch) and so fixes
 the size of the mix. A scarce domain is repeated as often as its weight asks; ``max_epochs`` bounds the
 repeats by scaling the whole mix down to the scarcest domain, so the weights hold then too. Copies of
-a document are floor(r + u) with u from a hash of its id. ``mixing_totals`` tells goals and reached totals;
-a fit that misses its goals warns.
+a document are floor(r + u) with u from a hash of its id. Every row tells the goal and the reached tokens of each domain;
+a fit that misses its goals warns as well.
 
 Defined results: a null or empty text has no tokens and the model's intercept as posteriors; with
 fewer than two labelled domains the posteriors are uniform; a domain without any mass cannot be raised and is left out; repeated
@@ -32,6 +34,7 @@ import math
 import warnings
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -46,7 +49,8 @@ SLOTS = 1 << 14
 FIT_ROWS = 20_000
 REGULARISATION = 3e-4
 FIT_ITERATIONS = 60
-MAX_PASSES = 40
+CUT_PASSES = 6
+MAX_PASSES = 1000
 TOLERANCE = 1e-4
 
 
@@ -92,40 +96,53 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     return out
 
 
-def _residual_step(residual: list[float]) -> Column:
-    return sum((F.get(F.col("_p3_p"), F.lit(d)) * F.lit(float(x)) for d, x in enumerate(residual)), F.lit(0.0))
+def _step(rate: Column, gradient: list[float]) -> Column:
+    along = sum((F.get(F.col("_p3_p"), F.lit(d)) * F.lit(float(x)) for d, x in enumerate(gradient)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), rate - along)
 
 
 @dataclass
 class Rates:
-    steps: list[list[float]]  # per pass and domain: (S_d - T_d) / M_d
+    members: DataFrame  # with ``_p3_r``
+    steps: list[list[float]]  # the gradient of each pass
     own: dict[str, float]
     goal: dict[str, float]
     reached: dict[str, float]
 
     def column(self) -> Column:
-        r = F.lit(1.0)
-        for s in self.steps:
-            r = F.greatest(F.lit(0.0), r - _residual_step(s))
-        return r
+        """The rate as an expression of the posteriors and all steps, for tables without ``_p3_r``."""
+        start = F.struct(F.lit(1.0).alias("r"))
+        steps = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in self.steps]) if self.steps else None
+        if steps is None:
+            return F.lit(1.0)
+
+        def after(acc: Column, s: Column) -> Column:
+            along = sum((F.get(F.col("_p3_p"), F.lit(d)) * F.get(s, F.lit(d)) for d in range(len(DOMAINS))), F.lit(0.0))
+            return F.struct(F.greatest(F.lit(0.0), acc["r"] - along).alias("r"))
+
+        return F.aggregate(steps, start, after)["r"]
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, anchor: str = "clean",
               max_epochs: float | None = None, passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
-    """members: rows with ``_p3_n`` and ``_p3_p``."""
+    """members: rows with ``_p3_n`` and ``_p3_p``; any other columns stay with them."""
     targets = TARGETS if targets is None else targets
-    rates = Rates([], {}, {}, {})
     each = range(len(DOMAINS))
-
-    def masses() -> tuple[list[float], list[float]]:
-        """Per domain: tokens at the rates so far, own tokens of the documents with a rate above 0."""
-        m = members.select(rates.column().alias("_p3_r"), "_p3_n", "_p3_p")
-        tokens = [F.col("_p3_n") * F.get(F.col("_p3_p"), F.lit(d)) for d in each]
-        row = m.agg(*[F.coalesce(F.sum(F.col("_p3_r") * t), F.lit(0.0)) for t in tokens],
-                    *[F.coalesce(F.sum(F.when(F.col("_p3_r") > 0, t)), F.lit(0.0)) for t in tokens]).first()
-        return [float(x) for x in row[: len(DOMAINS)]], [float(x) for x in row[len(DOMAINS):]]
-
-    mass, live = masses()
+    keep = [c for c in members.columns if c != "_p3_r"]
+    rates = Rates(members.withColumn("_p3_r", F.lit(1.0)), [], {}, {}, {})
+
+    def pass_over(frame: DataFrame) -> tuple[list[float], list[list[float]]]:
+        """Tokens per domain, and the Gram matrix of the documents with a rate above 0."""
+        p = [F.get(F.col("_p3_p"), F.lit(d)) for d in each]
+        n, live = F.col("_p3_n"), F.col("_p3_r") > 0
+        total = lambda x: F.coalesce(F.sum(x), F.lit(0.0))
+        row = frame.agg(*[total(F.col("_p3_r") * n * p[d]) for d in each],
+                        *[total(F.when(live, n * p[d] * p[e])) for d in each for e in each]).first()
+        k = len(DOMAINS)
+        return [float(x) for x in row[:k]], [[float(row[k + d * k + e]) for e in each] for d in each]
+
+    now, gram = pass_over(rates.members)
+    mass = now
     base = mass[DOMAINS.index(anchor)]
     if base <= 0 or targets.get(anchor, 0) <= 0:
         return rates
@@ -133,18 +150,39 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
     if max_epochs is not None:
         part = min([1.0] + [max_epochs * m / g for m, g in zip(mass, goal) if m > 0 and g > 0])
         goal = [g * part for g in goal]
-    now = mass
-
-    def missed() -> bool:
-        return max(abs(s - g) for s, g, m in zip(now, goal, mass) if m > 0) > tolerance * math.fsum(goal)
+    usable = [d for d in each if mass[d] > 0]
+    missed = lambda s: max(abs(s[d] - goal[d]) for d in usable) > tolerance * math.fsum(goal)
+    loss = lambda s: math.fsum((s[d] - goal[d]) ** 2 / mass[d] for d in usable)
+
+    def gradients() -> list[list[float]]:
+        """The scaled gradient, then the plain one."""
+        out = [[0.0] * len(DOMAINS) for _ in range(2)]
+        off = [now[d] - goal[d] for d in usable]
+        scaled = np.linalg.lstsq(np.array([[gram[d][e] for e in usable] for d in usable]), np.array(off), rcond=1e-12)[0]
+        for k, d in enumerate(usable):
+            live = math.fsum(gram[d])
+            out[0][d], out[1][d] = float(scaled[k]), off[k] / (live if live > 0 else mass[d])
+        return out
 
+    frame, since, stalled = rates.members, 0, 0
     for _ in range(passes):
-        if not missed():
+        if not missed(now) or stalled > 3:
+            break
+        for gradient in gradients():
+            tried = frame.withColumn("_p3_r", _step(F.col("_p3_r"), gradient))
+            s, g = pass_over(tried)
+            if loss(s) < loss(now):
+                break
+        else:  # neither brings it down: rounding, or the least squares are reached
             break
-        rates.steps.append([(s - g) / (w if w > 0 else m) if m > 0 else 0.0 for s, g, m, w in zip(now, goal, mass, live)])
-        now, live = masses()
+        stalled = stalled + 1 if loss(s) > (1 - 1e-6) * loss(now) else 0
+        frame, now, gram, since = tried, s, g, since + 1
+        rates.steps.append(gradient)
+        if since == CUT_PASSES:
+            frame, since = cut(frame.select(*keep, "_p3_r")), 0
+    rates.members = frame
     rates.own, rates.goal, rates.reached = (dict(zip(DOMAINS, x)) for x in (mass, goal, now))
-    if missed() or any(g > 0 and m <= 0 for g, m in zip(goal, mass)):
+    if missed(now) or any(g > 0 and m <= 0 for g, m in zip(goal, mass)):
         warnings.warn(f"mixing misses its targets: goal {rates.goal}, reached {rates.reached}", stacklevel=2)
     return rates
 
@@ -156,14 +194,15 @@ def copies(rate: Column, id_col: str = "doc_id", seed: int = 3) -> Column:
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """One row per document: doc_id, n_tokens, a posterior per domain, rate, copies."""
+    """One row per document: doc_id, n_tokens, a posterior per domain, rate, copies, and the goal and the reached
+    tokens of each domain (null where nothing could be fitted)."""
     model = fit_classifier(docs, labels)
-    m = cut(model.posteriors(docs.select("doc_id", "text"), F.col("text")).drop("text"))
-    rates = fit_rates(m, targets)
-    out = m.withColumn("rate", rates.column())
+    rates = fit_rates(cut(model.posteriors(docs.select("doc_id", "text"), F.col("text")).drop("text")), targets)
+    out = rates.members.withColumn("rate", F.col("_p3_r"))
+    told = [F.lit(of.get(d)).cast("double").alias(f"{what}_{d}") for what, of in (("goal", rates.goal), ("reached", rates.reached)) for d in DOMAINS]
     return out.select("doc_id", F.col("_p3_n").alias("n_tokens"),
                       *[F.get(F.col("_p3_p"), F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
-                      "rate", copies(F.col("rate")).alias("copies"))
+                      "rate", copies(F.col("rate")).alias("copies"), *told)
 
 
 def mixing_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
@@ -174,14 +213,15 @@ def mixing_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     return docs.sparkSession.createDataFrame(rows, "domain string, own double, goal double, reached double")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The mixed corpus: every document as often as its copies, with the columns it came with.
-    Posteriors are computed again beside the text, which is cheaper than joining them to it."""
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, copy_col: str | None = None) -> DataFrame:
+    """The mixed corpus: every document as often as its copies, with the columns it came with and, if named, the
+    number of the copy from 0. Posteriors are computed again beside the text, which is cheaper than joining them to it."""
     model = fit_classifier(docs, labels)
     members = cut(model.posteriors(docs.select("text"), F.col("text")).drop("text"))
     rate = fit_rates(members, targets).column()
     # the row number keeps the optimizer from pushing the count below and so evaluating the model per reference
     d = model.posteriors(docs, F.col("text")).withColumn("_p3_b", F.monotonically_increasing_id())
-    d = d.withColumn("_p3_c", copies(rate) + F.pmod("_p3_b", F.lit(1)).cast("int"))
-    d = d.withColumn("_p3_k", F.explode(F.array_repeat(F.lit(1), F.col("_p3_c"))))
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = d.withColumn("_p3_c", copies(rate) + F.pmod("_p3_b", F.lit(1)).cast("int")).where("_p3_c > 0")
+    d = d.withColumn("_p3_k", F.explode(F.sequence(F.lit(0), F.col("_p3_c") - 1)))
+    number = [F.col("_p3_k").alias(copy_col)] if copy_col else []
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns if c != copy_col], *number)

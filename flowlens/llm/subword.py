@@ -14,7 +14,8 @@ The first k values popped are the k largest of the perturbed log probabilities o
 segmentations, so the k paths are distinct and sampled without replacement; with the (k+1)-th value
 kappa, a path of log probability phi was included with probability 1 - exp(-exp(phi - kappa)),
 given as a logarithm. All random numbers are hashes of (row key, path, word, position): a row's
-samples depend on its key, text, seed and k alone.
+samples depend on its key, text, seed and k alone. The key is the id and, where a copy column is given, the
+number of the copy, so the copies of a mixed document get samples of their own.
 
 Pieces never hold a U+2581 after another character, so the lattice falls apart at words; equal words
 of a block share their lattice. Everything is vectorised over blocks of texts.
@@ -41,7 +42,7 @@ SAMPLES = 2
 SEED = 17
 SPACE = 0x2581
 RAW_SPACE = 0x110000  # a U+2581 of the text itself: no piece has it
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15 | 1)
 NONE, PREFIX, BYTES = -3, -1, -2
@@ -472,7 +473,7 @@ def _equal_texts(voc, data, offs, ids, ptr) -> np.ndarray:
 SCHEMA = "doc_id bigint, sample int, n_pieces bigint, log_prob double, perturbed double, log_inclusion double, decodes boolean, ids array<int>"
 
 
-def _run(shared, k: int, seed: int):
+def _run(shared, k: int, seed: int, copies: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = shared.value
         for b in batches:
@@ -480,6 +481,7 @@ def _run(shared, k: int, seed: int):
                 data = raw.tobytes()
                 key = np.asarray(b.column("key").slice(lo, hi - lo)).view(np.uint64)
                 ids_col = b.column("doc_id").slice(lo, hi - lo)
+                copy_col = b.column("copy").slice(lo, hi - lo)
                 found = sample_block(voc, data, offs, key, k, seed)
                 kappa = found[-1][1]
                 for number, valid, total, value, ids, ptr in found[:-1]:
@@ -493,20 +495,27 @@ def _run(shared, k: int, seed: int):
                     yield pa.RecordBatch.from_arrays(
                         [ids_col.take(pa.array(pick)), pa.array(np.full(len(pick), number, np.int32)), pa.array(n), pa.array(total[pick]),
                          pa.array(value[pick]), pa.array(np.minimum(score[pick], 0.0)), pa.array(ok[pick]),
-                         pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(flat.astype(np.int32)))],
-                        names=[x.split()[0] for x in SCHEMA.split(", ")])
+                         pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(flat.astype(np.int32))),
+                         *([copy_col.take(pa.array(pick))] if copies else [])],
+                        names=[x.split()[0] for x in SCHEMA.split(", ")] + ["copy"] * copies)
 
     return run
 
 
 def sample_segmentations(docs: DataFrame, model_path: str, k: int = SAMPLES, seed: int = SEED,
-                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Up to k rows per document, best perturbed value first: see SCHEMA. The vocabulary (its size is
-    the model file's) is read once on the driver and broadcast."""
+                         id_col: str = "doc_id", text_col: str = "text", copy_col: str | None = None) -> DataFrame:
+    """Up to k rows per document, best perturbed value first: see SCHEMA, and ``copy`` where a copy column is given
+    (copy 0 has the samples of a table without copies). The vocabulary (its size is the model file's) is read once
+    on the driver and broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path))
-    key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return d.mapInArrow(_run(shared, k, seed), SCHEMA)
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    copy = F.coalesce(F.col(copy_col).cast("int"), F.lit(0)) if copy_col else F.lit(0)
+    key = F.when(copy == 0, F.xxhash64(ident)).otherwise(F.xxhash64(ident, copy))
+    d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                    copy.alias("copy"))
+    if copy_col is None:
+        return d.mapInArrow(_run(shared, k, seed, False), SCHEMA)
+    return d.mapInArrow(_run(shared, k, seed, True), SCHEMA + ", copy int")
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -43,15 +43,19 @@ _INV = np.ones(1, dtype=np.uint64)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, grown to n entries."""
+    """At least n powers of the base and of its inverse modulo 2**64. A worker keeps those of a usual block;
+    a longer text's are made anew and let go."""
     global _POW, _INV
-    if len(_POW) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        _POW, _INV = (
-            np.cumprod(np.r_[_U(1), np.full(size, _U(b), dtype=np.uint64)], dtype=np.uint64)
-            for b in (_BASE, pow(_BASE, -1, 1 << 64))
-        )
-    return _POW, _INV
+    if len(_POW) >= n:
+        return _POW, _INV
+    size = max(n, 2 * BLOCK_BYTES)
+    made = tuple(
+        np.cumprod(np.r_[_U(1), np.full(size, _U(b), dtype=np.uint64)], dtype=np.uint64)
+        for b in (_BASE, pow(_BASE, -1, 1 << 64))
+    )
+    if n <= 2 * BLOCK_BYTES:
+        _POW, _INV = made
+    return made
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
