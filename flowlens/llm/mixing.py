@@ -9,11 +9,10 @@ Rates r >= 0 of the documents are then fitted so that the expected tokens of eac
 S_d = sum r n p_d, match the targets T_d: projected gradient on 1/2 sum (S_d - T_d)^2 / M_d from
 r = 1, where M_d are the tokens at rate 1. A step moves a document against p and is cut off at 0:
 r <- max(0, r - p . g). Two gradients g are known after a pass: the plain one, (S_d - T_d) / M_d with M_d over the
-documents with r > 0, which never overshoots as the p of a document sum to 1; and the one scaled by the
-Gram matrix sum n p p' of those documents, which meets the targets at once unless further rates reach 0. The
-scaled one is taken, and the plain one after a pass that did not bring the objective down. The fit ends when the
-targets are met, or when the objective no longer falls: the targets are then out of reach and the rates are the least-squares
-ones. A pass is one aggregate with a few numbers per domain; every ``CUT_PASSES`` passes the rates are written
+documents with r > 0, and the one scaled by the Gram matrix sum n p p' of those documents, which meets the targets at
+once unless further rates reach 0. The next pass tries both at the lengths of ``TRIES``, all in one aggregate, and keeps
+the one that leaves the least. The fit ends when the targets are met, or when the objective hardly falls any more: the
+targets are then out of reach and the rates are the least-squares ones. A pass is one aggregate with a few numbers per domain; every ``CUT_PASSES`` passes the rates are written
 to the shared folder as a column, so no plan grows with the passes and nothing is lost with an executor.
 
 ``targets`` are weights of domains; the ``anchor`` domain keeps its tokens (one epoch) and so fixes
@@ -50,7 +49,11 @@ FIT_ROWS = 20_000
 REGULARISATION = 3e-4
 FIT_ITERATIONS = 60
 CUT_PASSES = 6
-MAX_PASSES = 1000
+MAX_PASSES = 200
+#: (scaled or plain gradient, length) of the steps a pass tries
+TRIES = [(0, 1.0), (0, 0.5), (0, 0.2), (1, 1.0), (1, 4.0)]
+#: the fit has settled when this many passes in a row each take less than this share off the objective
+SETTLED = (4, 1e-3)
 TOLERANCE = 1e-4
 
 
@@ -131,17 +134,27 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
     keep = [c for c in members.columns if c != "_p3_r"]
     rates = Rates(members.withColumn("_p3_r", F.lit(1.0)), [], {}, {}, {})
 
-    def pass_over(frame: DataFrame) -> tuple[list[float], list[list[float]]]:
-        """Tokens per domain, and the Gram matrix of the documents with a rate above 0."""
-        p = [F.get(F.col("_p3_p"), F.lit(d)) for d in each]
-        n, live = F.col("_p3_n"), F.col("_p3_r") > 0
+    def pass_over(frame: DataFrame, gradients: list[list[float]]) -> list[tuple[list[float], list[list[float]]]]:
+        """After each of the steps: tokens per domain, and the Gram matrix of the documents with a rate above 0."""
+        k, out = len(DOMAINS), []
+        pairs = [(d, e) for d in each for e in range(d, k)]
+        p, n = [F.get(F.col("_p3_p"), F.lit(d)) for d in each], F.col("_p3_n")
         total = lambda x: F.coalesce(F.sum(x), F.lit(0.0))
-        row = frame.agg(*[total(F.col("_p3_r") * n * p[d]) for d in each],
-                        *[total(F.when(live, n * p[d] * p[e])) for d in each for e in each]).first()
-        k = len(DOMAINS)
-        return [float(x) for x in row[:k]], [[float(row[k + d * k + e]) for e in each] for d in each]
+        tried = frame.select("_p3_n", "_p3_p", *[_step(F.col("_p3_r"), g).alias(f"_p3_r{i}") for i, g in enumerate(gradients)])
+        cols = []
+        for i in range(len(gradients)):
+            r = F.col(f"_p3_r{i}")
+            cols += [total(r * n * p[d]) for d in each] + [total(F.when(r > 0, n * p[d] * p[e])) for d, e in pairs]
+        row = [float(x) for x in tried.agg(*cols).first()]
+        for i in range(len(gradients)):
+            part = row[i * (k + len(pairs)) : (i + 1) * (k + len(pairs))]
+            gram = [[0.0] * k for _ in each]
+            for (d, e), x in zip(pairs, part[k:]):
+                gram[d][e] = gram[e][d] = x
+            out.append((part[:k], gram))
+        return out
 
-    now, gram = pass_over(rates.members)
+    now, gram = pass_over(rates.members, [[0.0] * len(DOMAINS)])[0]
     mass = now
     base = mass[DOMAINS.index(anchor)]
     if base <= 0 or targets.get(anchor, 0) <= 0:
@@ -155,29 +168,28 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
     loss = lambda s: math.fsum((s[d] - goal[d]) ** 2 / mass[d] for d in usable)
 
     def gradients() -> list[list[float]]:
-        """The scaled gradient, then the plain one."""
-        out = [[0.0] * len(DOMAINS) for _ in range(2)]
+        """The steps to try."""
         off = [now[d] - goal[d] for d in usable]
         scaled = np.linalg.lstsq(np.array([[gram[d][e] for e in usable] for d in usable]), np.array(off), rcond=1e-12)[0]
+        kinds = [[0.0] * len(DOMAINS) for _ in range(2)]
         for k, d in enumerate(usable):
             live = math.fsum(gram[d])
-            out[0][d], out[1][d] = float(scaled[k]), off[k] / (live if live > 0 else mass[d])
-        return out
+            kinds[0][d], kinds[1][d] = float(scaled[k]), off[k] / (live if live > 0 else mass[d])
+        return [[x * length for x in kinds[kind]] for kind, length in TRIES]
 
-    frame, since, stalled = rates.members, 0, 0
+    frame, since, slow = rates.members, 0, 0
     for _ in range(passes):
-        if not missed(now) or stalled > 3:
+        if not missed(now) or slow >= SETTLED[0]:
             break
-        for gradient in gradients():
-            tried = frame.withColumn("_p3_r", _step(F.col("_p3_r"), gradient))
-            s, g = pass_over(tried)
-            if loss(s) < loss(now):
-                break
-        else:  # neither brings it down: rounding, or the least squares are reached
+        steps = gradients()
+        after = pass_over(frame, steps)
+        best = min(range(len(steps)), key=lambda i: loss(after[i][0]))
+        if loss(after[best][0]) >= loss(now):
             break
-        stalled = stalled + 1 if loss(s) > (1 - 1e-6) * loss(now) else 0
-        frame, now, gram, since = tried, s, g, since + 1
-        rates.steps.append(gradient)
+        slow = slow + 1 if loss(after[best][0]) > (1 - SETTLED[1]) * loss(now) else 0
+        now, gram = after[best]
+        frame, since = frame.withColumn("_p3_r", _step(F.col("_p3_r"), steps[best])), since + 1
+        rates.steps.append(steps[best])
         if since == CUT_PASSES:
             frame, since = cut(frame.select(*keep, "_p3_r")), 0
     rates.members = frame
