@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     GBTClassifier,
-    LinearSVC,
     LinearSVCModel,
     LogisticRegression,
     LogisticRegressionModel,
@@ -35,6 +34,7 @@ from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
 from flowlens.functions.packet import np_round
 from flowlens.operators.rank import packet_rank
+from flowlens.operators.svm import LinearOvrModel, LinearOvrSvm
 
 LABEL = "Label"
 
@@ -102,9 +102,7 @@ def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
                                                  featuresCol="features"), False, "proba"),
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
                                                    weightCol="weight", labelCol=LABEL, featuresCol="scaled"), True, "proba"),
-        "SVM (Linear)": (OneVsRest(classifier=LinearSVC(maxIter=2000, regParam=reg, standardization=False),
-                                   weightCol="weight", labelCol=LABEL, featuresCol="scaled",
-                                   parallelism=len(CLASS_NAMES)), True, "score"),
+        "SVM (Linear)": (LinearOvrSvm(features="scaled", label=LABEL, n_classes=len(CLASS_NAMES)), True, "score"),
         "Gradient Boosting": (OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=8, stepSize=0.1, seed=RANDOM_SEED),
                                         weightCol="weight", labelCol=LABEL, featuresCol="features",
                                         parallelism=len(CLASS_NAMES)), False, "ovr_margin"),
@@ -141,7 +139,7 @@ def class_scores(model, kind: str, df: DataFrame, n_classes: int = len(CLASS_NAM
     if kind == "proba":
         p = vector_to_array("probability")
         return out.withColumn("proba", _pad(p, n_classes))
-    raw = vector_to_array("rawPrediction")
+    raw = F.col("rawPrediction") if isinstance(model, LinearOvrModel) else vector_to_array("rawPrediction")
     if present is not None:
         pos = {c: i for i, c in enumerate(present)}
         raw = F.array(*[raw[pos[c]] if c in pos else F.lit(-1e300) for c in range(n_classes)])
@@ -205,6 +203,8 @@ def feature_importance(model, name: str, cols: Sequence[str] = FEATURE_COLS) ->
     if isinstance(model, tuple):
         members = [dict(feature_importance(m, name, cols)) for m in model[0].models]
         return [(c, sum(m[c] for m in members) / len(members)) for c in cols]
+    if isinstance(model, LinearOvrModel):
+        return list(zip(cols, model.importances()))
     if isinstance(model, LinearSVCModel):
         return list(zip(cols, [abs(float(x)) for x in model.coefficients.toArray()]))
     if hasattr(model, "featureImportances"):
@@ -292,7 +292,10 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
         present = None
         if isinstance(model, tuple):
             model, present = model
-        model.write().overwrite().save(os.path.join(path, sub))
+        if isinstance(model, LinearOvrModel):
+            model.save(os.path.join(path, sub))
+        else:
+            model.write().overwrite().save(os.path.join(path, sub))
         r = trained["results"][name]
         meta["models"][name] = {"dir": sub, "kind": kind, "class": type(model).__name__, "present": present,
                                 "needs_scaling": name in ("Logistic Regression", "SVM (Linear)"),
@@ -310,7 +313,7 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
 _LOADERS = {"RandomForestClassificationModel": RandomForestClassificationModel,
             "DecisionTreeClassificationModel": DecisionTreeClassificationModel,
             "LogisticRegressionModel": LogisticRegressionModel, "OneVsRestModel": OneVsRestModel,
-            "PipelineModel": PipelineModel}
+            "PipelineModel": PipelineModel, "LinearOvrModel": LinearOvrModel}
 
 
 def load_bundle(spark, path: str) -> dict:
@@ -339,13 +342,12 @@ def select_model_table(metrics: DataFrame) -> DataFrame:
 
 
 def select_model(names: Sequence[str], best: str | None) -> list[str]:
-    """ensemble/voting models first, then the best model, then the rest (stable)."""
-    def key(ix_name):
-        i, n = ix_name
+    """ensemble/voting models first, then the best model, then the rest, each by name as in ``select_model_table``."""
+    def key(n):
         low = n.lower()
-        return (0 if ("ensemble" in low or "voting" in low) else 1 if n == best else 2, i)
+        return (0 if ("ensemble" in low or "voting" in low) else 1 if n == best else 2, n)
 
-    return [n for _, n in sorted(enumerate(names), key=key)]
+    return sorted(names, key=key)
 
 
 # ---------------------------------------------------------------- scoring

@@ -71,6 +71,24 @@ def q_train_rf(spark, sf):
     return ml.metrics_table(spark, tr["results"])
 
 
+@register("train_svm_eval")
+def q_train_svm(spark, sf):
+    """M8: the linear SVM with its tuned bias."""
+    tr = ml.train_all(train_windows(spark, sf), ["SVM (Linear)"], ensemble=False)
+    return ml.metrics_table(spark, tr["results"])
+
+
+@register("predict_svm")
+def q_predict_svm(spark, sf):
+    """M25 with a model without probabilities: fit, save and reload the bundle, score the labelled windows by the
+    stored bias; decision values beside the prediction."""
+    windows = train_windows(spark, sf)
+    tr = ml.train_all(windows, ["SVM (Linear)"], ensemble=False)
+    path = shared_path(spark, f"bundle-svm-{uuid.uuid4().hex}")
+    ml.save_bundle(path, tr, "SVM (Linear)")
+    return ml.score_windows(ml.load_bundle(spark, path), windows)
+
+
 @register("predict_rf")
 def q_predict_rf(spark, sf):
     """Fit RF on the training windows, save and reload the bundle, score the windows of

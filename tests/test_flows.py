@@ -1,13 +1,10 @@
-"""Flow statistics on literal counter rows, against a plain emulation of the collector loop."""
+"""Flow statistics on literal counter rows, against rows worked out by hand."""
 
 from pyspark.sql import functions as F
 
 from flowlens.functions.packet import time_label
 from flowlens.operators.flows import flow_statistics
 
-COLS = ("reply_id timestamp datapath_id eth_type ipv4_src ipv4_dst ip_proto icmpv4_code icmpv4_type tcp_src tcp_dst "
-        "udp_src udp_dst duration_sec duration_nsec idle_timeout hard_timeout flags packet_count byte_count priority "
-        "entry_no").split()
 SCHEMA = ("reply_id bigint, timestamp double, datapath_id bigint, eth_type int, ipv4_src string, ipv4_dst string, "
           "ip_proto int, icmpv4_code int, icmpv4_type int, tcp_src int, tcp_dst int, udp_src int, udp_dst int, "
           "duration_sec bigint, duration_nsec bigint, idle_timeout int, hard_timeout int, flags int, "
@@ -23,43 +20,26 @@ ROWS = [
 ]
 
 
-def emulate(rows, carry):
-    """The collector's loop: defaults set once per reply, priority-1 entries in match order."""
-    out = []
-    for reply in sorted({r[0] for r in rows}):
-        icmp_code = icmp_type = -1
-        tp_src = tp_dst = 0
-        ent = [dict(zip(COLS, r)) for r in rows if r[0] == reply and r[20] == 1]
-        for e in sorted(ent, key=lambda e: (e["eth_type"], e["ipv4_src"], e["ipv4_dst"], e["ip_proto"])):
-            if not carry:
-                icmp_code = icmp_type = -1
-                tp_src = tp_dst = 0
-            if e["ip_proto"] == 1:
-                icmp_code, icmp_type = e["icmpv4_code"], e["icmpv4_type"]
-            elif e["ip_proto"] == 6:
-                tp_src, tp_dst = e["tcp_src"], e["tcp_dst"]
-            elif e["ip_proto"] == 17:
-                tp_src, tp_dst = e["udp_src"], e["udp_dst"]
-            fid = f"{e['ipv4_src']}{tp_src}{e['ipv4_dst']}{tp_dst}{e['ip_proto']}"
-            try:
-                ps, pn = e["packet_count"] / e["duration_sec"], e["packet_count"] / e["duration_nsec"]
-            except ZeroDivisionError:
-                ps = pn = 0
-            try:
-                bs, bn = e["byte_count"] / e["duration_sec"], e["byte_count"] / e["duration_nsec"]
-            except ZeroDivisionError:
-                bs = bn = 0
-            out.append((fid, tp_src, tp_dst, icmp_code, icmp_type, float(ps), float(pn), float(bs), float(bn)))
-    return sorted(out)
+# worked out by hand from the rows above: flow id, ports, ICMP code and type, packets per s and ns, bytes per s and ns
+ICMP = ("10.0.0.1010.0.0.201", 0, 0, 0, 8, 2.0, 0.1, 196.0, 9.8)
+TCP = ("10.0.0.24000010.0.0.3806", 40000, 80, -1, -1, 0.0, 0.0, 0.0, 0.0)  # no nanoseconds: all rates 0
+UDP = ("10.0.0.1535310.0.0.35317", 5353, 53, -1, -1, 0.0, 0.0, 0.0, 0.0)  # no seconds: all rates 0
+LATE = ("10.0.0.9123410.0.0.8432117", 1234, 4321, -1, -1, 4.0, 4.0, 400.0, 400.0)
 
 
-def test_flow_statistics_match_collector(spark):
+def after_icmp(row):
+    """The same row with the ICMP fields of the first entry of its reply carried on."""
+    return (*row[:3], 0, 8, *row[5:])
+
+
+def test_flow_statistics_of_literal_rows(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    for carry in (False, True):
+    want = {False: [ICMP, UDP, TCP, LATE], True: [ICMP, after_icmp(UDP), after_icmp(TCP), LATE]}
+    for carry, rows in want.items():
         got = flow_statistics(df, carry_forward=carry).select(
             "flow_id", "tp_src", "tp_dst", "icmp_code", "icmp_type", "packet_count_per_second",
             "packet_count_per_nsecond", "byte_count_per_second", "byte_count_per_nsecond").collect()
-        assert sorted(tuple(r) for r in got) == emulate(ROWS, carry)
+        assert sorted(tuple(r) for r in got) == sorted(rows)
 
 
 def test_time_label_epoch_and_relative(spark):
