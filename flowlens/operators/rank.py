@@ -14,9 +14,9 @@ Plan (all Spark jobs, nothing unbounded on the driver):
 4. ``groupBy(key, bucket).count()`` -> prefix sums over that small table -> join back
    -> ``row_number`` partitioned by (key, bucket) + offset.
 
-Any boundaries give the same ranks, so the approximation is harmless; the
-boundaries are literals of the plan, so re-execution after an executor loss gives
-the same buckets.
+Any boundaries give the same ranks, so the approximation is harmless; they are
+collected once and enter the plan as a model and a small broadcast table, so re-execution
+after an executor loss gives the same buckets and the plan does not grow with them.
 """
 
 from __future__ import annotations
@@ -64,23 +64,25 @@ def add_order_bucket(
     if not heavy:
         return staged.withColumn(BUCKET, j).drop(tmp_in, tmp_out)
 
-    # secondary boundaries for the heavy values, one small aggregate
+    # secondary boundaries for the heavy values, as many for each as it fills buckets: together at most num_buckets,
+    # kept as small tables, so the plan does not grow with them
     m = max(mult[h] for h in heavy)
-    sub_rows = (
-        df.where(F.col(primary).cast("double").isin(heavy))
-        .groupBy(F.col(primary).cast("double").alias("v"))
-        .agg(F.percentile_approx(F.col(tiebreak), [i / (m + 1) for i in range(1, m + 1)], accuracy).alias("b"))
-        .collect()
-    )
-    sub_bounds = {r["v"]: sorted(set(r["b"])) for r in sub_rows}
-    width = max(len(b) for b in sub_bounds.values()) + 1
-    bmap = F.create_map(*[x for v, b in sub_bounds.items() for x in (F.lit(v), F.array(*[F.lit(e) for e in b]))])
-    arr = bmap[F.col(tmp_in)]
-    tb = F.col(tiebreak)
+    spark = df.sparkSession
+    counts = spark.createDataFrame([(float(v), mult[v]) for v in heavy], "v double, c int")
+    tied = df.select(F.col(primary).cast("double").alias("v"), F.col(tiebreak).alias("t")).join(F.broadcast(counts), "v")
+    fine = tied.groupBy("v", "c").agg(F.percentile_approx("t", [i / (m + 1) for i in range(1, m + 1)], accuracy).alias("q"))
+    own = F.transform(F.sequence(F.lit(1), F.col("c")),
+                      lambda i: F.element_at("q", F.ceil(i * F.lit((m + 1.0)) / (F.col("c") + 1) - 1e-9).cast("int")))
+    sub_rows = fine.select("v", F.sort_array(F.array_distinct(own)).alias("b")).collect()
+    width = max(len(r["b"]) for r in sub_rows) + 1
+    kind = dict(df.dtypes)[tiebreak]
+    bounds = spark.createDataFrame([(r["v"], r["b"]) for r in sub_rows], f"_bk_v double, _bk_b array<{kind}>")
+    staged = staged.join(F.broadcast(bounds), F.col(tmp_in) == F.col("_bk_v"), "left")
     # rows equal to a heavy value come first in their interval, split by the tie-break;
     # larger values of the same interval come after all of them
-    sub = F.when(arr.isNotNull(), F.size(F.filter(arr, lambda x: x <= tb))).otherwise(F.lit(width))
-    return staged.withColumn(BUCKET, j * F.lit(width + 1) + sub.cast("bigint")).drop(tmp_in, tmp_out)
+    tb = F.col(tiebreak)
+    sub = F.when(F.col("_bk_b").isNotNull(), F.size(F.filter("_bk_b", lambda x: x <= tb))).otherwise(F.lit(width))
+    return staged.withColumn(BUCKET, j * F.lit(width + 1) + sub.cast("bigint")).drop(tmp_in, tmp_out, "_bk_v", "_bk_b")
 
 
 def packet_rank(
