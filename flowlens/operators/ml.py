@@ -15,12 +15,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
-    GBTClassifier,
     LinearSVCModel,
     LogisticRegression,
     LogisticRegressionModel,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -32,6 +29,7 @@ from pyspark.sql import functions as F
 from flowlens.constants import CLASS_NAMES, FEATURE_COLS, RANDOM_SEED, STEP_SIZE, TRAIN_FRACTION, WINDOW_SIZE
 from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
+from flowlens.operators.boosting import BoostedTrees, BoostedTreesModel
 from flowlens.functions.packet import np_round
 from flowlens.operators.rank import packet_rank
 from flowlens.operators.svm import LinearOvrModel, LinearOvrSvm
@@ -103,9 +101,7 @@ def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
                                                    weightCol="weight", labelCol=LABEL, featuresCol="scaled"), True, "proba"),
         "SVM (Linear)": (LinearOvrSvm(features="scaled", label=LABEL, n_classes=len(CLASS_NAMES)), True, "score"),
-        "Gradient Boosting": (OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=8, stepSize=0.1, seed=RANDOM_SEED),
-                                        weightCol="weight", labelCol=LABEL, featuresCol="features",
-                                        parallelism=len(CLASS_NAMES)), False, "ovr_margin"),
+        "Gradient Boosting": (BoostedTrees(features="features", label=LABEL, n_classes=len(CLASS_NAMES)), False, "proba"),
     }
 
 
@@ -122,35 +118,17 @@ def prepare(windows: DataFrame, stats: DataFrame | None = None) -> tuple[DataFra
     return z, stats
 
 
-def dense_label(present: Sequence[int]) -> Column:
-    """Label -> position in the sorted list of classes present in train."""
-    return (F.array_position(F.array(*[F.lit(int(c)) for c in present]), F.col(LABEL)) - 1).cast("double")
-
-
 def class_scores(model, kind: str, df: DataFrame, n_classes: int = len(CLASS_NAMES)) -> DataFrame:
-    """Model output as an array column ``proba`` (probabilities) or ``score`` (decision
-    values), laid out on the full class list. One-vs-rest models are passed as
-    (model, present classes); their scores are scattered back, absent classes get the
-    lowest possible score."""
-    present = None
-    if isinstance(model, tuple):
-        model, present = model
+    """Model output as an array column ``proba`` (probabilities) or ``score`` (decision values) over the full class list."""
     out = model.transform(df)
-    if kind == "proba":
-        p = vector_to_array("probability")
-        return out.withColumn("proba", _pad(p, n_classes))
-    raw = F.col("rawPrediction") if isinstance(model, LinearOvrModel) else vector_to_array("rawPrediction")
-    if present is not None:
-        pos = {c: i for i, c in enumerate(present)}
-        raw = F.array(*[raw[pos[c]] if c in pos else F.lit(-1e300) for c in range(n_classes)])
-    else:
-        raw = _pad(raw, n_classes)
     if kind == "score":
-        return out.withColumn("score", raw)
-    # one-vs-rest boosting: margins -> per-class probability 1/(1+exp(-2m)), normalised
-    sig = F.transform(raw, lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-    tot = F.aggregate(sig, F.lit(0.0), lambda a, x: a + x)
-    return out.withColumn("proba", F.transform(sig, lambda x: x / tot))
+        return out.withColumn("score", _pad(_array(model, "rawPrediction"), n_classes))
+    return out.withColumn("proba", _pad(_array(model, "probability"), n_classes))
+
+
+def _array(model, col: str) -> Column:
+    """Output column of a model as an array (the library's own models give arrays, Spark's give vectors)."""
+    return F.col(col) if isinstance(model, (LinearOvrModel, BoostedTreesModel)) else vector_to_array(col)
 
 
 def _pad(arr: Column, n: int) -> Column:
@@ -203,7 +181,7 @@ def feature_importance(model, name: str, cols: Sequence[str] = FEATURE_COLS) ->
     if isinstance(model, tuple):
         members = [dict(feature_importance(m, name, cols)) for m in model[0].models]
         return [(c, sum(m[c] for m in members) / len(members)) for c in cols]
-    if isinstance(model, LinearOvrModel):
+    if isinstance(model, (LinearOvrModel, BoostedTreesModel)):
         return list(zip(cols, model.importances()))
     if isinstance(model, LinearSVCModel):
         return list(zip(cols, [abs(float(x)) for x in model.coefficients.toArray()]))
@@ -239,17 +217,9 @@ def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble:
     models, results = {}, {}
     for name in names:
         est, _, kind = defs[name]
-        fit_on, present = train, None
-        if isinstance(est, OneVsRest):
-            # one binary problem per class present in train (an absent class would have no positives)
-            present = sorted(r[0] for r in train.select(LABEL).distinct().collect())
-            fit_on = train.withColumn("_ovr_label", dense_label(present))
-            est = est.copy().setLabelCol("_ovr_label")
         t0 = time.time()
-        model = est.fit(fit_on)
+        model = est.fit(train)
         secs = time.time() - t0  # M24: wall-clock of the fit
-        if present is not None:
-            model = (model, present)
         scored = class_scores(model, kind, test)
         tune = class_scores(model, kind, train) if tune_on == "train" else None
         ev = evaluate_scored(scored, "score" if kind == "score" else "proba", tune)
@@ -289,15 +259,12 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
             "best_model": best, "window_size": window_size, "step_size": step_size, "models": {}}
     for i, (name, (model, kind)) in enumerate(trained["models"].items()):
         sub = f"model_{i}"
-        present = None
-        if isinstance(model, tuple):
-            model, present = model
-        if isinstance(model, LinearOvrModel):
+        if isinstance(model, (LinearOvrModel, BoostedTreesModel)):
             model.save(os.path.join(path, sub))
         else:
             model.write().overwrite().save(os.path.join(path, sub))
         r = trained["results"][name]
-        meta["models"][name] = {"dir": sub, "kind": kind, "class": type(model).__name__, "present": present,
+        meta["models"][name] = {"dir": sub, "kind": kind, "class": type(model).__name__,
                                 "needs_scaling": name in ("Logistic Regression", "SVM (Linear)"),
                                 "threshold": r["rule"]["threshold"], "bias": r["rule"]["bias"]}
     ens = trained["results"].get("Ensemble (Soft Voting)")
@@ -312,8 +279,8 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
 
 _LOADERS = {"RandomForestClassificationModel": RandomForestClassificationModel,
             "DecisionTreeClassificationModel": DecisionTreeClassificationModel,
-            "LogisticRegressionModel": LogisticRegressionModel, "OneVsRestModel": OneVsRestModel,
-            "PipelineModel": PipelineModel, "LinearOvrModel": LinearOvrModel}
+            "LogisticRegressionModel": LogisticRegressionModel, "PipelineModel": PipelineModel,
+            "LinearOvrModel": LinearOvrModel, "BoostedTreesModel": BoostedTreesModel}
 
 
 def load_bundle(spark, path: str) -> dict:
@@ -324,7 +291,7 @@ def load_bundle(spark, path: str) -> dict:
     for name, m in meta["models"].items():
         if m["kind"] != "ensemble":
             model = _LOADERS[m["class"]].load(os.path.join(path, m["dir"]))
-            models[name] = ((model, m["present"]) if m.get("present") else model, m["kind"])
+            models[name] = (model, m["kind"])
     return {"meta": meta, "stats": stats, "models": models}
 
 
