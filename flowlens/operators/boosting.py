@@ -8,10 +8,12 @@ Every round fits one regression tree per class present in the training rows to t
 GL^2 / (HL + lambda) + GR^2 / (HR + lambda) - G^2 / (H + lambda); both sides of a split keep a Hessian of at least
 ``min_child_weight``. Features are binned once by quantiles (a mergeable sketch per feature), rows with x < edge go left.
 
-A level of all trees of a round is one Spark job: each task adds its rows to histograms of (node, feature), these are
-shuffled by (node, feature), summed in task order, and searched for their best edge where they meet. The driver gets one
-candidate per live node and feature, a number set by depth, classes and features, not by the rows. The rows carry their
-margins, written anew every ``keep`` rounds (checkpoint in the shared folder); the trees grown since travel with the job.
+A level of all trees of a round is one Spark job: each task adds its rows to a histogram per node, these are shuffled by
+node, summed, and searched for the best edge where they meet. The driver gets one split per live node, a number set by
+depth and classes, not by the rows. A fit has hundreds of such small jobs, so they run on an RDD of row blocks (a
+DataFrame job of two Python stages takes about five times as long to start). The blocks carry their rows' margins and are
+written anew every ``keep`` rounds (checkpoint in the shared folder); the trees grown since travel with the job. Sums of
+several tasks are added in the order they arrive, so runs may differ in the last digits.
 
 Defined results: missing inputs (NaN) go right; of equal gains the first feature and its least edge win; a class without
 training rows gets probability 0; no training rows raise a ValueError; a single class gives probability 1.
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,65 +130,60 @@ class BoostedTreesModel:
         return BoostedTreesModel(list(m.classes), m.n_classes, m.depth, m.features, trees, list(m.gains))
 
 
-def _columns(b: pa.RecordBatch, d: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """bins (rows x features), class positions, weights and margins (rows x classes) of a batch."""
-    n = b.num_rows
-    return (b.column("bins").flatten().to_numpy().reshape(n, d), b.column("y").to_numpy(), b.column("weight").to_numpy(),
-            b.column("margin").flatten().to_numpy().reshape(n, k))
+BLOCK_SCHEMA = "bins binary, y binary, weight binary, margin binary"
+
+
+def _block(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    """One row that holds a block of training rows."""
+    data = (bins.astype(np.int16), y.astype(np.int32), weight.astype(float), margin.astype(float))
+    return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in data], names=["bins", "y", "weight", "margin"])
+
+
+def _arrays(bins: bytes, y: bytes, weight: bytes, margin: bytes, d: int) -> tuple[np.ndarray, ...]:
+    """bins (rows x features), class positions, weights and margins (rows x classes) of a block."""
+    y = np.frombuffer(y, np.int32)
+    n = len(y)
+    return np.frombuffer(bins, np.int16).reshape(n, d), y, np.frombuffer(weight), np.frombuffer(margin).reshape(n, -1)
 
 
 def _binned(edges: list[np.ndarray], classes: list[int]):
-    """mapInArrow body: rows with their features as bins, margins 0."""
+    """mapInArrow body: a block for every batch of rows, features as bins, margins 0."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.array(classes)
         for b in batches:
             if not b.num_rows:
                 continue
             x = b.column("x").flatten().to_numpy().reshape(b.num_rows, len(edges))
-            bins = np.stack([np.searchsorted(e, x[:, i], side="right") for i, e in enumerate(edges)], axis=1).astype(np.int16)
-            margin = np.zeros(b.num_rows * len(classes))
-            yield pa.RecordBatch.from_arrays([
-                pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * len(edges), bins.ravel()),
-                pa.array(np.searchsorted(place, b.column("label").to_numpy()).astype(np.int32)), b.column("weight"),
-                pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * len(classes), margin)],
-                names=["bins", "y", "weight", "margin"])
+            bins = np.stack([np.searchsorted(e, x[:, i], side="right") for i, e in enumerate(edges)], axis=1)
+            yield _block(bins, np.searchsorted(classes, b.column("label").to_numpy()), b.column("weight").to_numpy(),
+                         np.zeros((b.num_rows, len(classes))))
 
     return body
 
 
 def _advanced(recent: Forest, d: int, k: int, depth: int):
-    """mapInArrow body: rows with the values of the recent trees added to their margins."""
+    """mapInArrow body: blocks with the values of the recent trees added to their margins."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            bins, _, _, margin = _columns(b, d, k)
-            new = margin + recent.margins(bins, k, depth)
-            yield pa.RecordBatch.from_arrays([
-                b.column("bins"), b.column("y"), b.column("weight"),
-                pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * k, new.ravel())],
-                names=["bins", "y", "weight", "margin"])
+            for row in b.to_pylist():
+                bins, y, weight, margin = _arrays(**row, d=d)
+                yield _block(bins, y, weight, margin + recent.margins(bins, k, depth))
 
     return body
 
 
 def _histograms(recent: Forest, current: Forest, live: list[np.ndarray], d: int, n_bins: int, full_depth: int, depth: int):
-    """mapInArrow body: a row per (live node, feature) of a task, the sums of g and h by bin. ``live`` has each class's
-    live nodes, sorted; nodes are numbered through all classes as slots."""
+    """mapPartitions body: (slot, sums of g and h by feature and bin) of a task's rows. ``live`` has each class's live
+    nodes, sorted; nodes are numbered through all classes as slots."""
     k = len(live)
     first = np.concatenate([[0], np.cumsum([len(v) for v in live])])
 
-    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
+    def body(rows: Iterator) -> Iterator[tuple[int, np.ndarray]]:
         sums = np.zeros((2, first[-1], d * n_bins))
         feature = np.arange(d) * n_bins
-        for b in batches:
-            if not b.num_rows:
-                continue
-            bins, y, weight, margin = _columns(b, d, k)
+        for row in rows:
+            bins, y, weight, margin = _arrays(*row, d=d)
             p = softmax(margin + recent.margins(bins, k, full_depth))
             for c in range(k):
                 if not len(live[c]):
@@ -199,53 +197,38 @@ def _histograms(recent: Forest, current: Forest, live: list[np.ndarray], d: int,
                 for i, v in enumerate((g, h)):
                     got = np.bincount(cell, np.repeat(v, d), len(live[c]) * d * n_bins)
                     sums[i, first[c] : first[c + 1]] += got.reshape(len(live[c]), -1)
-        task = TaskContext.get().partitionId()
-        for s in np.flatnonzero(sums[1].any(axis=1)):  # a batch per node
-            both = sums[:, s].reshape(2, d, n_bins).transpose(1, 0, 2).ravel()
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(d, s, np.int32)), pa.array(np.arange(d, dtype=np.int32)), pa.array(np.full(d, task, np.int32)),
-                pa.ListArray.from_arrays(np.arange(d + 1, dtype=np.int32) * 2 * n_bins, both)],
-                names=["slot", "feature", "task", "gh"])
+        for s in np.flatnonzero(sums[1].any(axis=1)):
+            yield int(s), sums[:, s].reshape(2, d, n_bins)
 
     return body
 
 
-SPLIT_SCHEMA = "slot int, feature int, cut int, gain double, gl double, hl double, g double, h double"
-
-
-def _splits(n_bins: int, n_edges: list[int], lam: float, least: float):
-    """mapInArrow body over rows sorted by (slot, feature, task): the best cut of each (slot, feature). A cut j sends the
-    bins up to j left; without a lawful cut the gain is -inf."""
-
-    def best(slot: int, feature: int, gh: np.ndarray) -> tuple:
-        left = np.cumsum(gh, axis=1)
-        g, h = left[:, -1]
-        gl, hl = left[:, : n_edges[feature]]
+@dataclass
+class Split:
+    feature: int
+    cut: int
+    gain: float
+    gl: float
+    hl: float
+    g: float
+    h: float
+
+
+def _best(n_edges: list[int], lam: float, least: float):
+    """Sums of a node -> its best split. A cut j sends the bins below j left; without a lawful cut the gain is -inf."""
+
+    def best(gh: np.ndarray) -> Split:
+        left = np.cumsum(gh, axis=2)
+        g, h = left[0, 0, -1], left[1, 0, -1]
+        gl, hl = left
         with np.errstate(invalid="ignore", divide="ignore"):
             gain = gl**2 / (hl + lam) + (g - gl) ** 2 / (h - hl + lam) - g**2 / (h + lam)
-        gain = np.where((hl >= least) & (h - hl >= least), gain, -np.inf)
-        if not len(gain):
-            return slot, feature, 0, -np.inf, 0.0, 0.0, g, h
-        j = int(np.argmax(gain))
-        return slot, feature, j + 1, gain[j], gl[j], hl[j], g, h
+        lawful = (hl >= least) & (h - hl >= least) & (np.arange(gh.shape[2]) < np.array(n_edges)[:, None])
+        gain = np.where(lawful, gain, -np.inf)
+        f, j = divmod(int(np.argmax(gain)), gh.shape[2])
+        return Split(f, j + 1, float(gain[f, j]), float(gl[f, j]), float(hl[f, j]), float(g), float(h))
 
-    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total, out = None, np.zeros((2, n_bins)), []
-        for b in batches:
-            gh = b.column("gh").flatten().to_numpy().reshape(b.num_rows, 2, n_bins)
-            for i, at in enumerate(zip(b.column("slot").to_pylist(), b.column("feature").to_pylist())):
-                if at != key:
-                    if key is not None:
-                        out.append(best(*key, total))
-                    key, total = at, np.zeros((2, n_bins))
-                total += gh[i]
-        if key is not None:
-            out.append(best(*key, total))
-            names = [c.split()[0] for c in SPLIT_SCHEMA.split(", ")]
-            types = [pa.int32()] * 3 + [pa.float64()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], names=names)
-
-    return body
+    return best
 
 
 @dataclass
@@ -287,9 +270,9 @@ class BoostedTrees:
         edges = self._edges(raw, d)
         n_edges = [len(e) for e in edges]
         n_bins = max(n_edges) + 1
-        schema = "bins array<smallint>, y int, weight double, margin array<double>"
         tasks = -(-sum(counts.values()) // TASK_ROWS)
-        rows = materialize(raw.repartition(tasks).mapInArrow(_binned(edges, classes), schema))
+        rows = materialize(raw.repartition(tasks).mapInArrow(_binned(edges, classes), BLOCK_SCHEMA))
+        blocks = rows.rdd
 
         done: list[Forest] = []
         recent: list[Forest] = []
@@ -302,10 +285,7 @@ class BoostedTrees:
                 slots = [(c, int(node)) for c in range(k) for node in live[c]]
                 if not slots:
                     break
-                best: dict[int, tuple] = {}
-                for r in self._candidates(rows, before, tree, live, d, n_bins, n_edges, level, tasks):
-                    if r.slot not in best or (-r.gain, r.feature) < (-best[r.slot].gain, best[r.slot].feature):
-                        best[r.slot] = r
+                best = self._splits(blocks, before, tree, live, d, n_bins, n_edges, level, tasks)
                 grown: list[list[int]] = [[] for _ in range(k)]
                 for s, r in sorted(best.items()):
                     c, node = slots[s]
@@ -324,8 +304,8 @@ class BoostedTrees:
             recent.append(tree)
             done.append(tree)
             if len(recent) == self.keep:
-                rows = materialize(rows.mapInArrow(_advanced(_stack(recent, nodes), d, k, self.depth), schema))
-                recent = []
+                rows = materialize(rows.mapInArrow(_advanced(_stack(recent, nodes), d, k, self.depth), BLOCK_SCHEMA))
+                blocks, recent = rows.rdd, []
 
         trees = _stack(done, nodes)
         cut = np.zeros(trees.cut.shape)
@@ -336,12 +316,10 @@ class BoostedTrees:
         return BoostedTreesModel(classes, self.n_classes, self.depth, self.features,
                                  Forest(trees.feature, cut, trees.value), [float(v) for v in share])
 
-    def _candidates(self, rows: DataFrame, recent: Forest, tree: Forest, live: list[np.ndarray], d: int, n_bins: int,
-                    n_edges: list[int], level: int, tasks: int) -> list:
-        """The best cut of every (live node, feature): at most nodes of a level x classes x features rows."""
+    def _splits(self, blocks: RDD, recent: Forest, tree: Forest, live: list[np.ndarray], d: int, n_bins: int,
+                n_edges: list[int], level: int, tasks: int) -> dict[int, Split]:
+        """The best split of every live node: at most nodes of a level x classes entries."""
         slots = sum(len(v) for v in live)
-        sums = rows.mapInArrow(_histograms(recent, tree, live, d, n_bins, self.depth, level),
-                               "slot int, feature int, task int, gh array<double>")
         meet = -(-slots * d * tasks * 16 * n_bins // TASK_HIST)
-        return sums.repartition(meet, "slot", "feature").sortWithinPartitions("slot", "feature", "task").mapInArrow(
-            _splits(n_bins, n_edges, self.lam, self.min_child_weight), SPLIT_SCHEMA).collect()
+        sums = blocks.mapPartitions(_histograms(recent, tree, live, d, n_bins, self.depth, level))
+        return sums.reduceByKey(np.add, meet).mapValues(_best(n_edges, self.lam, self.min_child_weight)).collectAsMap()

@@ -124,17 +124,20 @@ def running_sums(
     order_by: tuple[str, str],
     keys: list[str] | None = None,
     num_buckets: int | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Inclusive running sums of several expressions in (order_by) order, per key,
     with the same two-level plan as ``packet_rank`` (bucket totals -> prefix over the
-    small totals table -> bucket-local window + offset)."""
+    small totals table -> bucket-local window + offset). ``totals`` adds, for some of the sums,
+    a column (sum name -> column name) with the final value, from the same totals table."""
     keys = list(keys or [])
     primary, tiebreak = order_by
     staged = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()])
     b = add_order_bucket(staged, primary, tiebreak, num_buckets)
     tot = b.groupBy(*keys, BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     wk = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*keys, BUCKET, *[F.coalesce(F.sum(f"_t_{n}").over(wk), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    offs = tot.select(*keys, BUCKET, *[F.coalesce(F.sum(f"_t_{n}").over(wk), F.lit(0)).alias(f"_o_{n}") for n in sums],
+                      *[F.sum(f"_t_{n}").over(Window.partitionBy(*keys)).alias(c) for n, c in (totals or {}).items()])
     if not keys:
         offs = F.broadcast(offs)
     j = b.join(offs, on=[*keys, BUCKET], how="inner")

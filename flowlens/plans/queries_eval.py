@@ -10,6 +10,7 @@ from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
 from flowlens.operators import replay as R
 from flowlens.plans import oracle as O
+from flowlens.plans.queries_prep import CLEAN_DROP, clean
 from flowlens.plans.registry import register
 from flowlens.sources.packets import read_table
 from flowlens.sources.scores import EVENT_CLASS, scored_from_events
@@ -265,9 +266,9 @@ def predictions(spark, sf):
                     D.confidence_chosen("proba", "pred").alias("confidence"))
 
 
-def counters(spark, sf):
+def counters(spark, sf, total_col=None):
     return R.running_counters(predictions(spark, sf).withColumn("_t", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").cast("double")),
-                              order_by=("_t", "event_id")).drop("_t")
+                              order_by=("_t", "event_id"), total_col=total_col).drop("_t")
 
 
 @register("threats", sql(SCORED, PRED, final="SELECT * FROM pn WHERE prediction <> 'Normal'"), ["confidence"])
@@ -290,7 +291,7 @@ def q_running_counters(spark, sf):
     CASE WHEN prediction <> 'Normal' THEN CAST(printf('%.3f', confidence) AS DOUBLE) ELSE 0.0 END AS threat
     FROM ctr WHERE win_idx > (SELECT max(win_idx) FROM ctr) - 120"""), ["normal", "threat"])
 def q_timeline(spark, sf):
-    return R.timeline_tail(counters(spark, sf))
+    return R.timeline_tail(counters(spark, sf, "total_windows"))
 
 
 @register("metrics_snapshots", sql(SCORED, PRED, COUNTERS, final=f"""SELECT win_idx, total_threats,
@@ -298,12 +299,14 @@ def q_timeline(spark, sf):
     CAST(least(95, floor(5.0 + (win_idx / (SELECT max(win_idx) FROM ctr)) * 90.0)) AS INTEGER) AS progress
     FROM ctr WHERE win_idx % 5 = 0 OR win_idx = (SELECT max(win_idx) FROM ctr)"""))
 def q_snapshots(spark, sf):
-    return R.metrics_snapshots(counters(spark, sf))
+    return R.metrics_snapshots(counters(spark, sf, "total_windows"))
 
 
-@register("replay_summary", sql(SCORED, PRED, final=f"""SELECT count(*) AS windows,
+@register("replay_summary", sql(SCORED, PRED, O.PACKETS, CLEAN_DROP, final=f"""SELECT count(*) AS windows,
+    (SELECT count(*) FROM clean) AS total_packets,
     CAST(sum(CASE WHEN prediction <> 'Normal' THEN 1 ELSE 0 END) AS BIGINT) AS total_threats,
     {', '.join(f"CAST(sum(CASE WHEN prediction = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{c}" for _, c in sorted(CLASS_NAMES.items()))}
     FROM pn"""))
 def q_replay_summary(spark, sf):
-    return R.replay_summary(predictions(spark, sf))
+    """E19 with the packets of the capture as the dashboard cleans it."""
+    return R.replay_summary(predictions(spark, sf), packets=clean(spark, sf, "drop"))

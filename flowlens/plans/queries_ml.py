@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from flowlens.constants import FEATURE_COLS
+from flowlens.constants import CLASS_NAMES, FEATURE_COLS
 from flowlens.operators import ml
 from flowlens.plans import oracle as O
 from flowlens.plans.queries_eda import TRAIN, train_windows
@@ -89,6 +89,42 @@ def q_predict_svm(spark, sf):
     return ml.score_windows(ml.load_bundle(spark, path), windows)
 
 
+VOTERS = ["Random Forest", "Logistic Regression", "Gradient Boosting"]
+VOTE = "Ensemble (Soft Voting)"
+
+
+def checked(scored, threshold: float):
+    """What any scoring has to hold, from the rounded output columns of ``score_windows``: probabilities that sum to 1, the
+    stored threshold applied anew gives the prediction, the confidence is the predicted class's probability."""
+    eps = F.lit(1e-4)  # outputs have 4 decimals
+    names = [n for _, n in sorted(CLASS_NAMES.items())]
+    p = {n: F.col(f"proba_{n}") for n in names}
+    own = F.coalesce(*[F.when(F.col("prediction") == n, p[n]) for n in names])
+    normal = F.col("prediction") == names[0]
+    rule = F.when(normal, p[names[0]] >= threshold - eps).otherwise(
+        (p[names[0]] < threshold + eps) & (own >= F.greatest(*[p[n] for n in names[1:]]) - eps))
+    return scored.select("window_idx", "Label", "pkt_count", (F.abs(sum(p.values()) - 1) <= 5 * eps).alias("sums_to_one"),
+                         rule.alias("rule_holds"), (F.abs(F.col("confidence") - own) <= eps).alias("confidence_holds"))
+
+
+@register("predict_ensemble", sql(*TRAIN, final=f"""SELECT model, window_idx, Label, pkt_count, TRUE AS sums_to_one,
+    TRUE AS rule_holds, TRUE AS confidence_holds
+    FROM windows, (VALUES {', '.join(f"('{m}')" for m in [*VOTERS, VOTE])}) AS m(model)"""))
+def q_predict_ensemble(spark, sf):
+    """Forest, logistic regression, boosting and their soft vote, saved as a bundle, loaded,
+    and every labelled window scored by each; SQL holds the windows, the rules are applied anew to the probabilities."""
+    windows = train_windows(spark, sf)
+    path = shared_path(spark, f"bundle-vote-{uuid.uuid4().hex}")
+    ml.save_bundle(path, ml.train_all(windows, VOTERS), VOTE)
+    bundle = ml.load_bundle(spark, path)
+    out = None
+    for name in [*VOTERS, VOTE]:
+        one = checked(ml.score_windows(bundle, windows, name), bundle["meta"]["models"][name]["threshold"])
+        one = one.select(F.lit(name).alias("model"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("predict_rf")
 def q_predict_rf(spark, sf):
     """Fit RF on the training windows, save and reload the bundle, score the windows of

@@ -76,7 +76,7 @@ def test_learns_and_votes_through_a_bundle(spark, tmp_path, monkeypatch):
     def short(n):
         defs = real(n)
         est, scaled, kind = defs["Gradient Boosting"]
-        est.rounds = 12
+        est.rounds = 6
         return defs | {"Gradient Boosting": (est, scaled, kind)}
 
     monkeypatch.setattr(ml, "model_defs", short)
