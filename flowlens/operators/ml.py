@@ -90,7 +90,7 @@ def apply_scaler(df: DataFrame, stats: DataFrame, cols: Sequence[str] = FEATURE_
 
 
 # ---------------------------------------------------------------- models
-def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
+def model_defs(n_train: int, boost_rounds: int = 100) -> dict[str, tuple[object, bool, str]]:
     """name -> (estimator, needs scaled input, output kind 'proba' | 'score')."""
     reg = 1.0 / max(n_train, 1)  # sklearn C=1 with L2 on the sample-weighted sum of losses
     return {
@@ -101,7 +101,7 @@ def model_defs(n_train: int) -> dict[str, tuple[object, bool, str]]:
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
                                                    weightCol="weight", labelCol=LABEL, featuresCol="scaled"), True, "proba"),
         "SVM (Linear)": (LinearOvrSvm(features="scaled", label=LABEL, n_classes=len(CLASS_NAMES)), True, "score"),
-        "Gradient Boosting": (BoostedTrees(features="features", label=LABEL, n_classes=len(CLASS_NAMES)), False, "proba"),
+        "Gradient Boosting": (BoostedTrees(features="features", label=LABEL, n_classes=len(CLASS_NAMES), rounds=boost_rounds), False, "proba"),
     }
 
 
@@ -203,7 +203,7 @@ def importance_top(imp: DataFrame, k: int = 15) -> DataFrame:
 
 
 def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble: bool = True,
-              tune_on: str = "test") -> dict:
+              tune_on: str = "test", boost_rounds: int = 100) -> dict:
     """M5-M10 + M14/M15 + M16-M20 + M24: fit every model on the train split, tune its rule
     (on the test split as the reference does, or ``tune_on="train"``), evaluate on test.
     Returns {models, stats, results}."""
@@ -212,7 +212,7 @@ def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble:
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
     n_train = train.count()
-    defs = model_defs(n_train)
+    defs = model_defs(n_train, boost_rounds)
     names = list(names or defs)
     models, results = {}, {}
     for name in names:

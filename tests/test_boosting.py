@@ -70,18 +70,9 @@ def test_one_class_missing_values_and_no_rows(spark):
         BoostedTrees().fit(frame(spark, x[:0], [], []))
 
 
-def test_learns_and_votes_through_a_bundle(spark, tmp_path, monkeypatch):
-    real = ml.model_defs
-
-    def short(n):
-        defs = real(n)
-        est, scaled, kind = defs["Gradient Boosting"]
-        est.rounds = 6
-        return defs | {"Gradient Boosting": (est, scaled, kind)}
-
-    monkeypatch.setattr(ml, "model_defs", short)
+def test_learns_and_votes_through_a_bundle(spark, tmp_path):
     windows = spark.createDataFrame(synth_features(120))
-    tr = ml.train_all(windows, ["Logistic Regression", "Gradient Boosting"])
+    tr = ml.train_all(windows, ["Logistic Regression", "Gradient Boosting"], boost_rounds=6)
     res = tr["results"]["Gradient Boosting"]
     assert res["macro_f1"] > 0.9 and abs(sum(v for _, v in res["fi"]) - 1) < 1e-9
     assert {c for c, v in res["fi"] if v > 0.05} <= {"syn_ratio", "n_unique_dports", "rst_ratio"}
