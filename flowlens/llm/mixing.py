@@ -22,7 +22,9 @@ a document are floor(r + u) with u from a hash of its id. Every row tells the go
 a fit that misses its goals warns as well.
 
 Defined results: a null or empty text has no tokens and the model's intercept as posteriors; with
-fewer than two labelled domains the posteriors are uniform; a domain without any mass cannot be raised and is left out; repeated
+fewer than two labelled domains the posteriors are uniform; a domain but the anchor that is out of reach (its share of the targets is above the
+posterior that any document with tokens has for it, so no rates at all can give that share) is left out of the fit, which then
+matches the others; its goal and what it reached are told all the same; repeated
 rows get equal rates and copies; a null id draws the u of an empty id; an empty table gives an
 empty result; extra columns pass through ``mix`` untouched (helper columns start with ``_p3_``).
 """
@@ -126,6 +128,21 @@ class Rates:
         return F.aggregate(steps, start, after)["r"]
 
 
+def reachable(mass: list[float], goal: list[float], purest: list[float], anchor: int) -> list[int]:
+    """The domains to fit: the anchor, and those whose share of a mix that meets the goals is within the largest posterior
+    of a document, which bounds the share that any nonnegative rates can give. The domains left out hold at most their
+    own largest posteriors of such a mix."""
+    usable = [d for d, m in enumerate(mass) if m > 0]
+    while True:
+        whole = math.fsum(goal[d] for d in usable)
+        rest = 1.0 - math.fsum(x for d, x in enumerate(purest) if d not in usable)
+        out = [d for d in usable if d != anchor and goal[d] * rest > purest[d] * whole * (1 + TOLERANCE)]
+        if not out:
+            return usable
+        worst = max(out, key=lambda d: goal[d] / purest[d])
+        usable = [d for d in usable if d != worst]
+
+
 def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, anchor: str = "clean",
               max_epochs: float | None = None, passes: int = MAX_PASSES, tolerance: float = TOLERANCE) -> Rates:
     """members: rows with ``_p3_n`` and ``_p3_p``; any other columns stay with them."""
@@ -156,6 +173,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
 
     now, gram = pass_over(rates.members, [[0.0] * len(DOMAINS)])[0]
     mass = now
+    purest = [x or 0.0 for x in rates.members.where("_p3_n > 0").agg(*[F.max(F.get(F.col("_p3_p"), F.lit(d))) for d in each]).first()]
     base = mass[DOMAINS.index(anchor)]
     if base <= 0 or targets.get(anchor, 0) <= 0:
         return rates
@@ -163,7 +181,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
     if max_epochs is not None:
         part = min([1.0] + [max_epochs * m / g for m, g in zip(mass, goal) if m > 0 and g > 0])
         goal = [g * part for g in goal]
-    usable = [d for d in each if mass[d] > 0]
+    usable = reachable(mass, goal, purest, DOMAINS.index(anchor))
     missed = lambda s: max(abs(s[d] - goal[d]) for d in usable) > tolerance * math.fsum(goal)
     loss = lambda s: math.fsum((s[d] - goal[d]) ** 2 / mass[d] for d in usable)
 
@@ -194,7 +212,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, ancho
             frame, since = cut(frame.select(*keep, "_p3_r")), 0
     rates.members = frame
     rates.own, rates.goal, rates.reached = (dict(zip(DOMAINS, x)) for x in (mass, goal, now))
-    if missed(now) or any(g > 0 and m <= 0 for g, m in zip(goal, mass)):
+    if missed(now) or any(goal[d] > 0 for d in each if d not in usable):
         warnings.warn(f"mixing misses its targets: goal {rates.goal}, reached {rates.reached}", stacklevel=2)
     return rates
 
