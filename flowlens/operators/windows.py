@@ -1,18 +1,25 @@
 """W3 + G1-G21: sliding count windows (``size`` packets, sliding by ``step``).
 
 A window is a range of packet positions (W0 ranks), so "first/last by position"
-becomes min_by/max_by on the rank. Two physical shapes:
-
-* ``explode`` (default): each packet is copied to the <= size/step windows that contain
+becomes min_by/max_by on the rank. Three physical shapes:
+
+* ``chunks`` (default): packets are dealt as plain rows to chunks of some hundred consecutive
+  positions, a chunk's last windows bring copies of the next ``size - step`` packets. The sorted
+  array of a chunk is sliced into its windows, and array functions give what needs a window's
+  values (distinct counts, entropy, modes). Sums, moments and extremes are aggregates of
+  fixed-width buffers over the copies, joined by window. No hash aggregate holds lists per window,
+  which falls back to sorting after 128 windows.
+* ``explode``: each packet is copied to the <= size/step windows that contain
   it, then one ``groupBy(window)``. Rows of a window sit in one rank bucket, so partial
   aggregates combine most copies before the shuffle.
 * ``panes``: packets are first aggregated into panes of g = gcd(size, step) consecutive
   positions, whose summaries are copied to the size/g windows containing them. The
   summaries carry lists, so it moves more bytes than ``explode`` at the default size
-  and step (53 against 28 MB at sf0.1). Same rows; it serves as the other's test.
+  and step (53 against 28 MB at sf0.1).
 
-Nothing is collected per unbounded group: every list/set held per window or pane
-has at most ``size`` elements.
+All give the same rows; the later two serve as the first one's test. Nothing is collected per
+unbounded group: every list/set held per window or pane has at most ``size`` elements, a chunk at most
+``max(CHUNK_ROWS, CHUNK_SIZES * size) + size`` (rounded up to whole steps).
 """
 
 from __future__ import annotations
@@ -25,6 +32,9 @@ from pyspark.sql import functions as F
 from flowlens.constants import STEP_SIZE, WINDOW_SIZE
 from flowlens.operators.rank import packet_rank
 
+#: a chunk holds the packets of so many positions, or so many window sizes, if that is more
+CHUNK_ROWS, CHUNK_SIZES = 500, 4
+
 FLAG_COLS = ["SYN", "ACK", "FIN", "RST", "PSH", "URG"]
 
 
@@ -41,9 +51,10 @@ def window_span(r: Column, n: Column, size: int, step: int, unit: int = 1) -> tu
 
 
 def _entropy(protos: Column, n: Column) -> Column:
-    """-sum p*log2(p + 1e-9) over the value shares of an array (<= size elements)."""
+    """-sum p*log2(p + 1e-9) over the shares of an array's values other than null (<= size elements)."""
     def term(acc, d):
-        p = F.size(F.filter(protos, lambda x: x == d)).cast("double") / n
+        c = F.when(d.isNull(), 0).otherwise(F.size(protos) - F.size(F.array_remove(protos, d)))
+        p = c.cast("double") / n
         return acc + p * F.log2(p + F.lit(1e-9))
 
     return -F.aggregate(F.array_distinct(protos), F.lit(0.0), term)
@@ -65,6 +76,19 @@ def _dominant(labels: Column) -> Column:
     return F.array_max(stats)
 
 
+def _dominant_in_order(labels: Column) -> Column:
+    """``_dominant`` of labels that stand in rank order: a tie goes to the label that comes first."""
+    stats = F.transform(
+        F.array_distinct(labels),
+        lambda d: F.struct(
+            F.when(d.isNull(), 0).otherwise(F.size(labels) - F.size(F.array_remove(labels, d))).alias("c"),
+            (-F.array_position(labels, d)).alias("nf"),
+            d.alias("label"),
+        ),
+    )
+    return F.array_max(stats)
+
+
 def _finish(agg: DataFrame, step: int, has_labels: bool, dashboard: bool, keys: tuple[str, ...] = ()) -> DataFrame:
     """Derived columns, in the reference column order."""
     n = F.col("pkt_count")
@@ -98,13 +122,8 @@ def _finish(agg: DataFrame, step: int, has_labels: bool, dashboard: bool, keys:
     return agg.select(*cols)
 
 
-def _explode_windows(ranked: DataFrame, size: int, step: int, has_labels: bool, dashboard: bool,
-                     keys: tuple[str, ...] = (), first: str | None = None) -> DataFrame:
-    lo, hi = window_span(F.col("rank"), F.col("_n"), size, step)
-    if first:
-        lo = F.greatest(lo, F.col(first).cast("bigint"))
-    x = ranked.where((F.col("_n") >= size) & (lo <= hi)).withColumn("w", F.explode(F.sequence(lo, hi)))
-    aggs = [
+def _number_aggs() -> list[Column]:
+    return [
         F.min_by("time", "rank").alias("time_start"),
         F.max_by("time", "rank").alias("time_end"),
         F.count(F.lit(1)).alias("pkt_count"),
@@ -119,6 +138,22 @@ def _explode_windows(ranked: DataFrame, size: int, step: int, has_labels: bool,
         F.max("iat").alias("IAT_max"),
         F.sum("iat").alias("IAT_total"),
         *[F.sum(F.col(f"flag_{f}").cast("bigint")).alias(f"{f}_count") for f in FLAG_COLS],
+    ]
+
+
+def _copies(ranked: DataFrame, size: int, step: int, first: str | None) -> DataFrame:
+    """Each packet once for every window ``w`` that holds it."""
+    lo, hi = window_span(F.col("rank"), F.col("_n"), size, step)
+    if first:
+        lo = F.greatest(lo, F.col(first).cast("bigint"))
+    return ranked.where((F.col("_n") >= size) & (lo <= hi)).withColumn("w", F.explode(F.sequence(lo, hi)))
+
+
+def _explode_windows(ranked: DataFrame, size: int, step: int, has_labels: bool, dashboard: bool,
+                     keys: tuple[str, ...] = (), first: str | None = None) -> DataFrame:
+    x = _copies(ranked, size, step, first)
+    aggs = [
+        *_number_aggs(),
         # size(collect_set) instead of several count(distinct): no Expand, <= size values
         F.size(F.collect_set("source")).cast("bigint").alias("n_unique_src"),
         F.size(F.collect_set("destination")).cast("bigint").alias("n_unique_dst"),
@@ -142,10 +177,63 @@ def _explode_windows(ranked: DataFrame, size: int, step: int, has_labels: bool,
     return _finish(g, step, has_labels, dashboard, keys)
 
 
+def _distinct(values: Column) -> Column:
+    """Distinct values other than null (``array_compact`` would be a lambda call per element)."""
+    return (F.size(F.array_distinct(F.concat(values, F.array(F.lit(None))))) - 1).cast("bigint")
+
+
+def _chunk_windows(ranked: DataFrame, size: int, step: int, has_labels: bool, dashboard: bool,
+                   keys: tuple[str, ...] = (), first: str | None = None) -> DataFrame:
+    per = -(-max(CHUNK_ROWS, CHUNK_SIZES * size) // step)  # windows that start in a chunk
+    length = per * step
+    at = F.floor(F.col("rank") / F.lit(length)).cast("bigint")
+    # a packet is in its own chunk and in the earlier ones whose last windows reach it
+    low = F.greatest(F.floor((F.col("rank") - F.lit(size - step)) / F.lit(length)).cast("bigint"), F.lit(0)) if size > step else at
+    fields = ["source", "destination", "flow_id", "dst_port", "src_port", "proto_num"] + (["label"] if has_labels and not dashboard else [])
+    extra = ["_n"] + ([first] if first else [])
+    rows = ranked.where(F.col("_n") >= size).select(
+        *keys, *extra, "rank", *fields, F.explode(F.sequence(F.least(low, at), at)).alias("_chunk"))
+    # dealt as plain rows: lists are built where they are used, not before the shuffle
+    rows = rows.repartition(*keys, "_chunk")
+    packed = rows.groupBy(*keys, "_chunk").agg(
+        *[F.max(c).alias(c) for c in extra], F.sort_array(F.collect_list(F.struct("rank", *fields))).alias("_rows"))
+    lo = F.col("_chunk") * F.lit(per)
+    if first:
+        lo = F.greatest(lo, F.col(first).cast("bigint"))
+    hi = F.least(F.col("_chunk") * F.lit(per) + F.lit(per - 1), F.floor((F.col("_n") - F.lit(size)) / F.lit(step)).cast("bigint"))
+    base = F.col("_rows")[0]["rank"]
+
+    def window(w: Column) -> Column:
+        begin = w * F.lit(step) - base  # ranks are contiguous from the chunk's first one
+        start = F.greatest(begin, F.lit(0))
+        return F.struct(w.alias("w"), F.slice("_rows", (start + 1).cast("int"), (begin + F.lit(size) - start).cast("int")).alias("s"))
+
+    wanted = F.filter(F.sequence(lo, hi), lambda w: w * F.lit(step) + F.lit(size) > base)
+    x = packed.where(lo <= hi).select(*keys, F.explode(F.transform(wanted, window)).alias("_w"))
+    x = x.select(*keys, F.col("_w.w").alias("w"), F.col("_w.s").alias("s")).where(F.size("s") > 0)
+    cols = [
+        *keys, "w",
+        _distinct(F.col("s.source")).alias("n_unique_src"),
+        _distinct(F.col("s.destination")).alias("n_unique_dst"),
+        _distinct(F.col("s.flow_id")).alias("n_unique_flows"),
+        _distinct(F.col("s.dst_port")).alias("n_unique_dports"),
+        _distinct(F.col("s.src_port")).alias("n_unique_sports"),
+        _entropy(F.col("s.proto_num"), F.size("s").cast("double")).alias("protocol_entropy"),
+    ]
+    if has_labels and not dashboard:
+        cols.append(_dominant_in_order(F.col("s.label")).alias("_dom"))
+    if dashboard:
+        cols += [_array_mode(F.col("s.source")).alias("rep_src_ip"), _array_mode(F.col("s.destination")).alias("rep_dst_ip"),
+                 _array_mode(F.col("s.dst_port")).cast("string").alias("rep_dst_port")]
+    # sums, moments and extremes: plain aggregates in a hash table of fixed-width rows, combined before their shuffle
+    numbers = _copies(ranked, size, step, first).groupBy(*keys, "w").agg(*_number_aggs())
+    return _finish(numbers.join(x.select(*cols), [*keys, "w"]), step, has_labels, dashboard, keys)
+
+
 def windows_at_positions(placed: DataFrame, size: int, step: int, has_labels: bool, keys: list[str]) -> DataFrame:
     """Windows per ``keys`` of packets whose positions are known: ``rank`` within the key, ``_n`` packets of the
     key so far, and ``_first``, the ordinal of the first window wanted."""
-    return _explode_windows(placed, size, step, has_labels, False, tuple(keys), "_first")
+    return _chunk_windows(placed, size, step, has_labels, False, tuple(keys), "_first")
 
 
 def _pane_windows(ranked: DataFrame, size: int, step: int, has_labels: bool, dashboard: bool) -> DataFrame:
@@ -258,7 +346,7 @@ def window_features(
     size: int = WINDOW_SIZE,
     step: int = STEP_SIZE,
     order_by: tuple[str, str] | None = None,
-    method: str = "explode",
+    method: str = "chunks",
     dashboard: bool = False,
     num_buckets: int | None = None,
 ) -> DataFrame:
@@ -273,4 +361,6 @@ def window_features(
     ranked = packet_rank(packets, order_by=order_by, rank_col="rank", total_col="_n", num_buckets=num_buckets)
     if method == "panes" and gcd(size, step) > 1:
         return _pane_windows(ranked, size, step, has_labels, dashboard)
-    return _explode_windows(ranked, size, step, has_labels, dashboard)
+    if method == "explode":
+        return _explode_windows(ranked, size, step, has_labels, dashboard)
+    return _chunk_windows(ranked, size, step, has_labels, dashboard)

@@ -38,7 +38,7 @@ def build_training_windows(
     downsample_after_iat: bool = False,
     iat_scope: str = "flow",
     length_policy: str = "zero",
-    method: str = "explode",
+    method: str = "chunks",
 ) -> DataFrame:
     """Raw named captures (T1) -> labelled merged timeline -> downsample -> packet features ->
     windows (T4). All packets are used unless the caller gives ``sample_frac``. ``downsample_after_iat`` thins after the per-flow IAT is computed (the

@@ -29,7 +29,7 @@ def sql(*ctes, final):
     return O.with_ctes(*ctes, final=final)
 
 
-def dashboard_windows(spark, sf, method="explode"):
+def dashboard_windows(spark, sf, method="chunks"):
     return window_features(packet_features(clean(spark, sf, "drop")), method=method, dashboard=True)
 
 

@@ -79,7 +79,9 @@ def events_as_packets(events: DataFrame) -> DataFrame:
     protocol, length (raw text, 'bad' for some rows), info, capture (0..3),
     local_time (time within its capture).
     """
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    # a column of its own, so the JSON text is parsed once a row and not once a use
+    events = events.withColumn("_k", F.get_json_object("props", "$.k").cast("bigint"))
+    k = F.col("_k")
     uid = F.col("user_id")
     et = F.col("event_type")
     # timestampdiff on TIMESTAMP_NTZ is independent of the session time zone.
