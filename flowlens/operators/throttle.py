@@ -104,7 +104,8 @@ def _last_before(ranked: DataFrame, key: str, time: str, cooldown: float) -> Dat
     while most > FAN:
         levels.append(materialize(levels[-1].groupBy(key, group).applyInPandas(of_group, steps)))
         most = -(-most // FAN)
-    given = levels[-1].select(key, F.lit(0).cast("bigint").alias("_g"), F.lit(None).cast("double").alias("_a")).distinct()
+    # a chain starts at rank 0; a key whose first ranks belong to threats without a time has none
+    given = ranked.where(F.col("_r") == 0).select(key, F.lit(0).cast("bigint").alias("_g"), F.lit(None).cast("double").alias("_a"))
     for level in reversed(levels):
         known = level.withColumn("_g", group).join(given, [key, "_g"])
         given = materialize(known.groupBy(key, "_g").applyInPandas(down, f"`{key}` {kind}, _b bigint, _a double")).withColumnRenamed("_b", "_g")
