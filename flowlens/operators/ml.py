@@ -33,6 +33,7 @@ from flowlens.operators.boosting import BoostedTrees, BoostedTreesModel
 from flowlens.functions.packet import np_round
 from flowlens.operators.rank import packet_rank
 from flowlens.operators.svm import LinearOvrModel, LinearOvrSvm
+from flowlens.session import materialize
 
 LABEL = "Label"
 
@@ -94,8 +95,9 @@ def model_defs(n_train: int, boost_rounds: int = 100) -> dict[str, tuple[object,
     """name -> (estimator, needs scaled input, output kind 'proba' | 'score')."""
     reg = 1.0 / max(n_train, 1)  # sklearn C=1 with L2 on the sample-weighted sum of losses
     return {
+        # node ids kept by row: else every pass ships the trees grown so far in its tasks (same trees either way)
         "Random Forest": (RandomForestClassifier(numTrees=100, maxDepth=20, seed=RANDOM_SEED, weightCol="weight",
-                                                 labelCol=LABEL, featuresCol="features"), False, "proba"),
+                                                 labelCol=LABEL, featuresCol="features", cacheNodeIds=True), False, "proba"),
         "Decision Tree": (DecisionTreeClassifier(maxDepth=15, seed=RANDOM_SEED, weightCol="weight", labelCol=LABEL,
                                                  featuresCol="features"), False, "proba"),
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
@@ -202,6 +204,11 @@ def importance_top(imp: DataFrame, k: int = 15) -> DataFrame:
     return imp.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
+def _written(scored: DataFrame, col: str) -> DataFrame:
+    """What the evaluation reads of scored rows, written once: its many jobs would score anew and ship the model each time."""
+    return materialize(scored.select(LABEL, col))
+
+
 def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble: bool = True,
               tune_on: str = "test", boost_rounds: int = 100) -> dict:
     """M5-M10 + M14/M15 + M16-M20 + M24: fit every model on the train split, tune its rule
@@ -220,17 +227,18 @@ def train_all(windows: DataFrame, names: Sequence[str] | None = None, ensemble:
         t0 = time.time()
         model = est.fit(train)
         secs = time.time() - t0  # M24: wall-clock of the fit
-        scored = class_scores(model, kind, test)
-        tune = class_scores(model, kind, train) if tune_on == "train" else None
-        ev = evaluate_scored(scored, "score" if kind == "score" else "proba", tune)
+        col = "score" if kind == "score" else "proba"
+        scored = _written(class_scores(model, kind, test), col)
+        tune = _written(class_scores(model, kind, train), col) if tune_on == "train" else None
+        ev = evaluate_scored(scored, col, tune)
         models[name] = (model, kind)
         results[name] = {**ev, "train_time": round(secs, 4), "fi": feature_importance(model, name)}
     if ensemble:
         members = [n for n in ("Random Forest", "Logistic Regression", "Gradient Boosting") if n in models]
         if len(members) >= 2:
             voters = [models[m] for m in members]
-            tune = ensemble_scores(voters, train) if tune_on == "train" else None
-            ev = evaluate_scored(ensemble_scores(voters, test), "proba", tune)
+            tune = _written(ensemble_scores(voters, train), "proba") if tune_on == "train" else None
+            ev = evaluate_scored(_written(ensemble_scores(voters, test), "proba"), "proba", tune)
             # the members are fitted once and shared: the vote's fit is the sum of theirs
             secs = sum(results[m]["train_time"] for m in members)
             fi = results["Random Forest"]["fi"] if "Random Forest" in results else []
