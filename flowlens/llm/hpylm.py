@@ -1,22 +1,23 @@
 """Operator 9: document scores under a hierarchical Pitman-Yor language model.
 
-Restaurants: one per context, the context being the class (hash modulo ``CONTEXTS``) of the word before
-(a class of its own at a text's start); all context restaurants share one parent, the root, whose base
-is uniform over the V training words and one place for all others. A context restaurant's tables are the root's
-customers. Seating is sampled by Gibbs sweeps: each sweep seats the customers of every (context,
-word) anew by the Chinese restaurant process, given the parent's predictive probabilities and the
-table totals of the sweep before (a parallel, blocked sampler). The predictive probabilities of the sweeps
+Restaurants: one per context, the context being the word before (an end before a text's first word); all context
+restaurants share one parent, the root, whose base is uniform over the V training words and one place for all others.
+A context restaurant's tables are the root's customers. Seating is sampled by Gibbs sweeps: each sweep seats the
+customers of every (context, word) anew by the Chinese restaurant process, given the parent's predictive probabilities
+and the table totals of the sweep before (a parallel, blocked sampler). The predictive probabilities of the sweeps
 after the first ``BURN_IN`` are averaged; a text's score is the sum of their logarithms.
 
 Work is dealt by word: every task holds all counts of its words (all contexts), so counts,
-seating and probabilities of a word need no other task; what is shared are the totals per
-context, vectors of fixed length that are summed in a tree. A task replays its sweeps from those totals (its random
-numbers are seeded), so no state is stored between the passes and a lost task is only run
+seating and probabilities of a word need no other task. What is shared are the totals per
+context: after each sweep a task sends those of its contexts to the contexts' home partitions, which add them up and send
+back what was asked for, in the order it was asked for (small numbers, one byte each). A task replays its sweeps from
+these answers (its random numbers are seeded), so no seating is stored between the passes and a lost task is only run
 again; the tokens are shuffled once and the passes read the same shuffle files.
-Tokens travel packed: per block of texts and target task, the block's distinct words and plain
+Tokens travel packed: per block of texts and target task, the block's distinct words and contexts and plain
 arrays of (context, text) for each occurrence. Words that make up more than 1/``HOT`` of the
-tokens (at most ``HOT`` words, found first) are dealt by block instead, and their counts, at
-most HOT x CONTEXTS pairs, are seated on the driver and broadcast.
+tokens (at most ``HOT`` words, found first) are dealt by word and context; their numbers in the root, and their totals as contexts,
+are vectors of that length that are summed in a tree. (context, word) pairs above 1/``HOT`` (at most ``HOT``, too) are dealt by block
+instead, and their counts are seated on the driver and broadcast.
 
 A customer count of more than ``EXACT`` at one pair draws its later tables by blocks that grow by an
 eighth with a Poisson number of new tables (their chance hardly changes inside a block).
@@ -29,6 +30,7 @@ each; a row without an id is in fold 0; without training rows all words are unkn
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm import textbytes as tb
+from flowlens.llm.common import cut
 from flowlens.llm.langid import fold
 
-CONTEXTS = 2048
 HOT = 1024
 SWEEPS = 3
 BURN_IN = 1
@@ -54,7 +56,8 @@ _U = np.uint64
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, context, text) of every token of the texts, an end after each text's words."""
+    """(word hash, context, text) of every token of the texts, an end after each text's words; the context is the hash
+    of the word before, an end at a text's start."""
     low = tb.LOWER[data]
     starts, ends, row = tb.words(low, offs)
     h = tb.span_hash(tb.hash_prefix(low), starts, ends)
@@ -64,34 +67,89 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     out = np.full(len(h) + n, END, dtype=np.uint64)
     out[at] = h
     doc = np.repeat(np.arange(n), count + 1)
-    before = np.r_[_U(0), out[:-1]]
-    ctx = (1 + tb.splitmix(before ^ _U(31)) % _U(CONTEXTS - 1)).astype(np.uint16)
-    ctx[np.r_[0, np.cumsum(count + 1)[:-1]]] = 0
-    return out, ctx, doc
+    return out, np.r_[END, out[:-1]], doc
+
+
+def pair_hash(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return tb.splitmix(tb.splitmix(ctx ^ _U(31)) + word)
+
+
+def _find(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Place of each x in the sorted distinct values, -1 when it is not there."""
+    if not len(sorted_):
+        return np.full(len(x), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
+    return np.where(sorted_[at] == x, at, -1)
+
+
+FREQUENT = "pair boolean, ctx bigint, word bigint, n bigint"
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words above 1/HOT of a block, and all tokens as word 0."""
+    """Words and pairs above 1/HOT of a block, and all tokens as word 0."""
     for b in batches:
         for _, _, data, offs in tb.blocks(b.column("text")):
-            h, n = np.unique(tokens(data, offs)[0], return_counts=True)
-            often = n * HOT >= n.sum()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[h[often], _U(0)].view(np.int64)), pa.array(np.r_[n[often], n.sum()])], names=["word", "n"])
+            w, ctx, _ = tokens(data, offs)
+            h, n = np.unique(w, return_counts=True)
+            often = n * HOT >= len(w)
+            some = (_find(h[often], w) >= 0) & (_find(h[often], ctx) >= 0)  # of a frequent pair both are frequent
+            w2, ctx = w[some], ctx[some]
+            _, first, n2 = np.unique(pair_hash(ctx, w2), return_index=True, return_counts=True)
+            first, n2 = first[n2 * HOT >= len(w)], n2[n2 * HOT >= len(w)]
+            k = int(often.sum()) + 1
+            cols = [np.r_[np.zeros(k, bool), np.ones(len(first), bool)], np.r_[np.zeros(k, _U), ctx[first]].view(np.int64),
+                    np.r_[h[often], _U(0), w2[first]].view(np.int64), np.r_[n[often], len(w), n2]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["pair", "ctx", "word", "n"])
+
+
+class Hot(NamedTuple):
+    """Frequent words (sorted) and frequent pairs (sorted by their hash; places of context and word in ``words``)."""
+
+    words: np.ndarray
+    pairs: np.ndarray
+    ctx: np.ndarray
+    word: np.ndarray
+
+
+def hot_words(docs: DataFrame) -> Hot:
+    """At most HOT words and HOT pairs, every word and pair above 2/HOT of all tokens among them."""
+    sums = docs.select("text").mapInArrow(_frequent, FREQUENT).groupBy("pair", "ctx", "word").agg(F.sum("n").alias("n"))
+    sums = cut(sums)
+    total = sums.where("word = 0 AND NOT pair").agg(F.sum("n")).first()[0] or 0
+    rows = sums.where(F.col("pair") | (F.col("word") != 0)).where(F.col("n") * HOT >= total).collect()
+    hashes = lambda x: np.array(x, dtype=np.int64).view(np.uint64)
+    words = np.unique(hashes([r.word for r in rows if not r.pair]))
+    ctx, word = hashes([r.ctx for r in rows if r.pair]), hashes([r.word for r in rows if r.pair])
+    order = np.argsort(pair_hash(ctx, word))
+    ctx, word = ctx[order], word[order]
+    return Hot(words, pair_hash(ctx, word), _find(words, ctx), _find(words, word))
 
 
-def hot_words(docs: DataFrame) -> np.ndarray:
-    """At most HOT words, every word above 2/HOT of all tokens among them."""
-    sums = docs.select("text").mapInArrow(_frequent, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    total = sums.where("word = 0").agg(F.sum("n")).first()[0] or 0
-    rows = sums.where((F.col("word") != 0) & (F.col("n") * HOT >= total)).select("word").collect()
-    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
+def _index(idx: np.ndarray, of: np.ndarray) -> bytes:
+    return idx.astype(np.uint16 if len(of) <= 65536 else np.uint32).tobytes()
+
+
+def _indexed(data: bytes, of: np.ndarray) -> np.ndarray:
+    return of[np.frombuffer(data, np.uint16 if len(of) <= 65536 else np.uint32)]
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Counts, one byte each; those of 255 and more follow in full."""
+    x = x.astype(np.int64)
+    return np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, np.int64, -1, n)
+    return out
 
 
 class _Packer:
     """Collects the tokens of a partition's texts and packs them by target task."""
 
-    def __init__(self, hot: np.ndarray, parts: int):
+    def __init__(self, hot: Hot, parts: int):
         self.hot, self.parts = hot, parts
         self.task = TaskContext.get().partitionId()
         self.rows = 0
@@ -121,9 +179,10 @@ class _Packer:
         w, ctx, doc = np.concatenate(self.w), np.concatenate(self.c), np.concatenate(self.d)
         rid, train = np.concatenate(self.rid), np.concatenate(self.train)
         own = (self.task * 7919 + self.block) % self.parts
-        at = np.searchsorted(self.hot, w)
-        hot = self.hot[np.minimum(at, len(self.hot) - 1)] == w if len(self.hot) else np.zeros(len(w), dtype=bool)
-        to = np.where(hot, own, (w % _U(self.parts)).astype(np.int64))
+        to = (w % _U(self.parts)).astype(np.int64)
+        often = np.flatnonzero(_find(self.hot.words, w) >= 0)
+        pair = pair_hash(ctx[often], w[often])
+        to[often] = np.where(_find(self.hot.pairs, pair) >= 0, own, (pair % _U(self.parts)).astype(np.int64))
         order = np.lexsort((w, to))
         w, ctx, doc, to = w[order], ctx[order], doc[order].astype(np.uint32), to[order]
         edge = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
@@ -132,16 +191,16 @@ class _Packer:
             x = w[lo:hi]
             new = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
             used, idx = np.unique(doc[lo:hi], return_inverse=True)
-            small = np.uint16 if len(used) <= 65536 else np.uint32
+            before, cidx = np.unique(ctx[lo:hi], return_inverse=True)
             times = np.diff(np.r_[new, len(x)]).astype(np.uint32)
-            out.append((int(to[lo]), x[new].tobytes(), times.tobytes(), ctx[lo:hi].tobytes(), idx.astype(small).tobytes(),
+            out.append((int(to[lo]), x[new].tobytes(), times.tobytes(), before.tobytes(), _index(cidx, before), _index(idx, used),
                         rid[used].tobytes(), np.packbits(train[used]).tobytes(), b""))
         n_tokens = np.bincount(np.concatenate(self.d), minlength=self.docs).astype(np.int64)
         head = np.stack([rid, np.concatenate(self.ids), np.concatenate(self.null).astype(np.int64), n_tokens])
-        out.append((own, b"", b"", b"", b"", b"", b"", head.tobytes()))
+        out.append((own, b"", b"", b"", b"", b"", b"", b"", head.tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[i] for o in out], pa.binary()) for i in range(1, 8)]],
-            names=["part", "words", "times", "ctx", "doc", "rid", "train", "head"])
+            [pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[i] for o in out], pa.binary()) for i in range(1, 9)]],
+            names=["part", "words", "times", "contexts", "ctx", "doc", "rid", "train", "head"])
         self.block += 1
         self.reset()
 
@@ -163,38 +222,72 @@ def _pack(hot, parts: int):
 
 
 class _Part:
-    """All occurrences of a task's words; hot words apart."""
+    """All occurrences of a task's words, and the answers of the contexts' home partitions so far."""
 
-    def __init__(self, packets, hot: np.ndarray):
+    def __init__(self, packets, hot: Hot, parts: int):
         words, times, ctx, train, rid = [], [], [], [], []
         self.heads = []
-        for _, (w, n, c, d, r, t, head) in packets:
+        answers: dict[int, dict[int, tuple]] = {}
+        for _, packet in packets:
+            if packet[0] == ANSWER:
+                _, step, home, t, c = packet
+                answers.setdefault(step, {})[home] = (t, c)
+                continue
+            w, n, before, c, d, r, t, head = packet
             if len(head):
                 self.heads.append(np.frombuffer(head, np.int64).reshape(4, -1))
                 continue
             r = np.frombuffer(r, np.int64)
             t = np.unpackbits(np.frombuffer(t, np.uint8))[: len(r)].astype(bool)
-            c = np.frombuffer(c, np.uint16)
-            d = np.frombuffer(d, np.uint16 if len(d) == 2 * len(c) else np.uint32)
-            words.append(np.frombuffer(w, np.uint64))
-            times.append(np.frombuffer(n, np.uint32))
-            ctx.append(c)
-            train.append(t[d])
-            rid.append(r[d])
+            words.append(np.repeat(np.frombuffer(w, np.uint64), np.frombuffer(n, np.uint32)))
+            ctx.append(_indexed(c, np.frombuffer(before, np.uint64)))
+            train.append(_indexed(d, t))
+            rid.append(_indexed(d, r))
         cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        words, times, self.ctx = cat(words, np.uint64), cat(times, np.int64), cat(ctx, np.uint16)
         self.train, self.rid = cat(train, bool), cat(rid, np.int64)
-        self.words, inv = np.unique(words, return_inverse=True)
-        at = np.searchsorted(hot, self.words)
-        is_hot = hot[np.minimum(at, len(hot) - 1)] == self.words if len(hot) else np.zeros(len(self.words), dtype=bool)
-        number = np.where(is_hot, at, np.cumsum(~is_hot) - 1)
-        self.n_words = int((~is_hot).sum())
-        row = np.repeat(inv, times)
-        self.hot = is_hot[row]
-        self.key = number[row].astype(np.int64) * CONTEXTS + self.ctx
-
-    def pairs(self, hot: bool) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(self.key[self.train & (self.hot == hot)], return_counts=True)
+        self.words, row = np.unique(cat(words, np.uint64), return_inverse=True)
+        self.ctx, before = np.unique(cat(ctx, np.uint64), return_inverse=True)
+        self.hot_word, self.hot_ctx = _find(hot.words, self.words), _find(hot.words, self.ctx)
+        # distinct pairs, and the pair of each occurrence
+        key, self.pair = np.unique(row * max(1, len(self.ctx)) + before, return_inverse=True)
+        self.pair_word, self.pair_ctx = np.divmod(key, max(1, len(self.ctx)))
+        self.crowd = np.full(len(key), -1, dtype=np.int64)
+        some = np.flatnonzero(self.hot_word[self.pair_word] >= 0)
+        self.crowd[some] = _find(hot.pairs, pair_hash(self.ctx[self.pair_ctx[some]], self.words[self.pair_word[some]]))
+        self.count = np.bincount(self.pair[self.train], minlength=len(key))
+        # rare contexts by home partition, in the order in which the homes are asked
+        rare = np.flatnonzero(self.hot_ctx < 0)
+        home = (self.ctx[rare] % _U(parts)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        self.asked = {int(home[x[0]]): rare[x] for x in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(x)}
+        self.answers = []
+        self.ctx_count = np.zeros(len(self.ctx), dtype=np.int64)
+        for step in sorted(answers):
+            tables = np.zeros(len(self.ctx), dtype=np.int64)
+            for q, (t, c) in answers[step].items():
+                at = self.asked[q]
+                tables[at] = _wide(t, len(at))
+                if step == 0:
+                    self.ctx_count[at] = _wide(c, len(at))
+            self.answers.append(tables)
+
+    def tables(self, step: int, g: dict) -> np.ndarray:
+        """Table totals of this task's contexts after a sweep."""
+        return np.where(self.hot_ctx >= 0, g["ctx_tables"][self.hot_ctx], self.answers[step]) if len(g["ctx_tables"]) else self.answers[step]
+
+    def customers(self, g: dict) -> np.ndarray:
+        return np.where(self.hot_ctx >= 0, g["ctx_counts"][self.hot_ctx], self.ctx_count) if len(g["ctx_counts"]) else self.ctx_count
+
+    def seating(self, number: int) -> _Seating:
+        own = np.flatnonzero((self.crowd < 0) & (self.count > 0))
+        return _Seating(number, self.pair_word[own], self.pair_ctx[own], self.count[own], self.hot_word)
+
+    def questions(self, t: np.ndarray, s: _Seating, first: bool):
+        """(home, asked contexts, their tables and customers here) for every home partition."""
+        tables = np.bincount(s.ctx, weights=t, minlength=len(self.ctx))
+        counts = np.bincount(s.ctx, weights=s.count, minlength=len(self.ctx))
+        for q, at in self.asked.items():
+            yield q, (self.ctx[at].tobytes() if first else b"", _narrow(tables[at]), _narrow(counts[at]) if first else b"")
 
 
 def _new_tables(rng, a: np.ndarray, d: float, c: np.ndarray) -> np.ndarray:
@@ -219,72 +312,117 @@ def _new_tables(rng, a: np.ndarray, d: float, c: np.ndarray) -> np.ndarray:
 
 
 class _Seating:
-    """Sweeps over the (word, context) counts of some words, given the totals of earlier sweeps."""
+    """Sweeps over the (word, context) counts of some words, given the totals of earlier sweeps.
+
+    ``hot`` holds a word's place among the frequent words (-1: none); what the root has of these is known to the driver only.
+    """
+
+    def __init__(self, number: int, word: np.ndarray, ctx: np.ndarray, count: np.ndarray, hot: np.ndarray):
+        self.number, self.word, self.ctx, self.count, self.hot = number, word, ctx, count, hot
+        self.cold = hot < 0
+        self.total = self.by_word(count)
 
-    def __init__(self, number: int, n_words: int, key: np.ndarray, count: np.ndarray):
-        self.number, self.n_words, self.key, self.count = number, n_words, key, count
-        self.word, self.ctx = key // CONTEXTS, key % CONTEXTS
-        self.total = np.bincount(self.word, weights=count, minlength=n_words)
+    def by_word(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=x, minlength=len(self.hot))
 
     def start(self):
-        t = np.ones(len(self.key))
-        customers = np.bincount(self.word, weights=t, minlength=self.n_words)
-        return t, customers, (customers > 0).astype(float)
+        t = np.ones(len(self.word))
+        customers = self.by_word(t)
+        return t, customers, ((customers > 0) & self.cold).astype(float)
+
+    def of_root(self, own: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """A number of the root per word: this task's own, or the driver's where the word is frequent."""
+        return np.where(self.cold, own, hot[self.hot]) if len(hot) else own
 
     def parent(self, state, g) -> np.ndarray:
         """The root's predictive probability of each word."""
         d, theta = ROOT
-        _, customers, tables = state
+        customers, tables = self.of_root(state[1], g["hot_customers"]), self.of_root(state[2], g["hot_tables"])
         return (np.maximum(0.0, customers - d * tables) + (theta + d * g["root_tables"]) / (g["V"] + 1)) / (theta + g["customers"])
 
-    def sweep(self, state, g, r: int):
+    def sweep(self, state, g, ctx_tables: np.ndarray, r: int):
         rng = np.random.default_rng([SEED, self.number + 1, r])
         d, theta = LEAF
-        a = (theta + d * g["tables"][self.ctx]) * self.parent(state, g)[self.word]
+        a = (theta + d * ctx_tables[self.ctx]) * self.parent(state, g)[self.word]
         t = _new_tables(rng, a, d, self.count)
-        customers = np.bincount(self.word, weights=t, minlength=self.n_words)
-        d0, theta0 = ROOT
-        base = np.full(self.n_words, (theta0 + d0 * g["root_tables"]) / (g["V"] + 1))
-        return t, customers, _new_tables(rng, base, d0, customers)
+        customers = self.by_word(t)
+        return t, customers, _root_tables(rng, g, np.where(self.cold, customers, 0))
 
-    def totals(self, state) -> dict:
+    def totals(self, state, hot_ctx: np.ndarray, n_hot: int) -> dict:
+        """What the driver adds up; ``hot_ctx`` is a context's place among the frequent words (-1: none)."""
         t, customers, tables = state
-        return {"tables": np.bincount(self.ctx, weights=t, minlength=CONTEXTS), "customers": float(customers.sum()), "root_tables": float(tables.sum())}
+        w, c = self.hot[self.word], hot_ctx[self.ctx]
+        add = lambda at, x: np.bincount(at[at >= 0], weights=x[at >= 0], minlength=n_hot)
+        return {"customers": float(customers.sum()), "root_tables": float(tables.sum()), "hot_customers": add(w, t), "ctx_tables": add(c, t)}
 
-    def run(self, history: list[dict]) -> list:
+    def run(self, history: list[dict], ctx_tables: list[np.ndarray]) -> list:
         """States 0 to len(history): sweep r uses the totals after sweep r - 1."""
         states = [self.start()]
-        for r, g in enumerate(history):
-            states.append(self.sweep(states[-1], g, r + 1))
+        for r, (g, x) in enumerate(zip(history, ctx_tables)):
+            states.append(self.sweep(states[-1], g, x, r + 1))
         return states
 
-    def predictive(self, states, history, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-        """Averaged probability of known words in contexts; word < 0 is an unknown word."""
+    def predictive(self, states, history, ctx_tables, ctx_counts, pair_word, pair_ctx, own) -> np.ndarray:
+        """Averaged probability of the pairs (word < 0 is an unknown word); ``own`` is a pair's place in the seating (-1: none)."""
         d, theta = LEAF
-        key = np.maximum(word, 0) * CONTEXTS + ctx
-        at = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
-        seen = (self.key[at] == key) & (word >= 0) if len(self.key) else np.zeros(len(key), dtype=bool)
-        out = np.zeros(len(key))
+        d0, theta0 = ROOT
+        out = np.zeros(len(pair_word))
         used = range(BURN_IN + 1, len(states))
+        known, seen = pair_word >= 0, own >= 0
         for r in used:
             g, state = history[r], states[r]
-            d0, theta0 = ROOT
-            none = (theta0 + d0 * g["root_tables"]) / (g["V"] + 1) / (theta0 + g["customers"])
-            p0 = np.full(len(key), none)
-            known = word >= 0
-            p0[known] = self.parent(state, g)[word[known]]
-            own = np.where(seen, self.count[at] - d * state[0][at], 0.0) if len(self.key) else 0.0
-            out += (np.maximum(0.0, own) + (theta + d * g["tables"][ctx]) * p0) / (theta + g["counts"][ctx])
+            p0 = np.full(len(pair_word), (theta0 + d0 * g["root_tables"]) / (g["V"] + 1) / (theta0 + g["customers"]))
+            p0[known] = self.parent(state, g)[pair_word[known]]
+            mine = np.zeros(len(pair_word))
+            mine[seen] = np.maximum(0.0, self.count[own[seen]] - d * state[0][own[seen]])
+            out += (mine + (theta + d * ctx_tables[r][pair_ctx]) * p0) / (theta + ctx_counts[pair_ctx])
         return out / len(used)
 
 
+def _root_tables(rng, g: dict, customers: np.ndarray) -> np.ndarray:
+    d, theta = ROOT
+    return _new_tables(rng, np.full(len(customers), (theta + d * g["root_tables"]) / (g["V"] + 1)), d, customers)
+
+
 def _merge(a: dict, b: dict) -> dict:
-    out = {k: a[k] + b[k] for k in a if k != "hot"}
-    if "hot" in a:
-        key = np.r_[a["hot"][0], b["hot"][0]]
-        u, inv = np.unique(key, return_inverse=True)
-        out["hot"] = (u, np.bincount(inv, weights=np.r_[a["hot"][1], b["hot"][1]], minlength=len(u)).astype(np.int64))
-    return out
+    return {k: a[k] + b[k] for k in a}
+
+
+#: marks of the records that travel beside the tokens' packets
+ANSWER, TOTALS = "answer", "totals"
+
+
+def _same(part: int) -> int:
+    return part
+
+
+def _answer(step: int):
+    """mapPartitionsWithIndex body of a home partition: adds up its contexts and answers every task that asked."""
+
+    def run(home: int, records):
+        asked, got = {}, {}
+        for _, (kind, src, ids, t, c) in records:
+            if kind == 0:
+                asked[src] = (np.frombuffer(ids, np.uint64), c)
+            if kind == step:
+                got[src] = t
+        order = sorted(asked)
+        if not order:
+            return
+        ids, inv = np.unique(np.concatenate([asked[s][0] for s in order]), return_inverse=True)
+        size = [len(asked[s][0]) for s in order]
+
+        def added(parts: list[bytes]) -> list[bytes]:
+            x = np.concatenate([_wide(p, n) for p, n in zip(parts, size)])
+            total = np.bincount(inv, weights=x, minlength=len(ids)).astype(np.int64)[inv]
+            return [_narrow(p) for p in np.split(total, np.cumsum(size)[:-1])]
+
+        tables = added([got[s] for s in order])
+        counts = added([asked[s][1] for s in order]) if step == 0 else [b""] * len(order)
+        for s, t, c in zip(order, tables, counts):
+            yield s, (ANSWER, step, home, t, c)
+
+    return run
 
 
 RESULT = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -318,68 +456,101 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2, sweeps: int
     d = d.select("doc_id", (fold(F.col("doc_id"), folds) != held).alias("train"), "text")
     hot_list = hot_words(d)
     hot = sc.broadcast(hot_list)
+    n_hot = len(hot_list.words)
     parts = max(MIN_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = d.mapInArrow(_pack(hot, parts), "part int, words binary, times binary, ctx binary, doc binary, rid binary, train binary, head binary")
-    # one shuffle, read by all passes
-    dealt = packed.rdd.map(lambda r: (r[0], tuple(bytes(x) for x in r[1:]))).partitionBy(parts, lambda p: p)
-
-    def tree(f) -> dict:
-        return dealt.mapPartitionsWithIndex(lambda i, it: [f(i, it)]).treeReduce(_merge)
-
-    def count(i, it):
-        p = _Part(it, hot.value)
-        key, c = p.pairs(False)
-        s = _Seating(i, p.n_words, key, c)
-        return {"N": int(c.sum()), "V": int((s.total > 0).sum()), "counts": np.bincount(s.ctx, weights=c, minlength=CONTEXTS),
-                "hot": p.pairs(True), **s.totals(s.start())}
-
-    first = tree(count)
-    key, c = first.pop("hot")
-    crowd = _Seating(-1, max(1, len(hot_list)), key, c)
-    fixed = {"N": first["N"] + int(c.sum()), "V": first["V"] + int((crowd.total > 0).sum()),
-             "counts": first["counts"] + np.bincount(crowd.ctx, weights=c, minlength=CONTEXTS)}
-    history = [fixed | _merge({k: first[k] for k in ("tables", "customers", "root_tables")}, crowd.totals(crowd.start()))]
-
-    def one_sweep(past):
+    packed = d.mapInArrow(_pack(hot, parts), "part int, words binary, times binary, contexts binary, ctx binary, doc binary, rid binary, train binary, head binary")
+    # one shuffle, read by all passes; the answers to the tasks are dealt in the same way and read beside it
+    dealt = packed.rdd.map(lambda r: (r[0], tuple(bytes(x) for x in r[1:]))).partitionBy(parts, _same)
+    parts = dealt.getNumPartitions()
+
+    def ask(step: int, past):
+        """mapPartitionsWithIndex body: questions of a sweep to the homes, and the task's totals for the driver."""
+
         def run(i, it):
-            p = _Part(it, hot.value)
-            s = _Seating(i, p.n_words, *p.pairs(False))
-            return s.totals(s.run(past.value)[-1])
+            p = _Part(it, hot.value, parts)
+            s = p.seating(i)
+            g = past.value if past else []
+            state = s.run(g, [p.tables(r, x) for r, x in enumerate(g)])[-1]
+            totals = s.totals(state, p.hot_ctx, n_hot)
+            if step == 0:
+                cold = s.cold & (s.total > 0)
+                at = p.hot_ctx[s.ctx]
+                crowd = p.crowd >= 0
+                totals |= {"N": float(s.count.sum()), "V": int(cold.sum()),
+                           "hot_total": np.bincount(s.hot[~s.cold], weights=s.total[~s.cold], minlength=n_hot),
+                           "ctx_counts": np.bincount(at[at >= 0], weights=s.count[at >= 0], minlength=n_hot),
+                           "crowd": np.bincount(p.crowd[crowd], weights=p.count[crowd], minlength=len(hot.value.pairs))}
+            yield i, (TOTALS, totals)
+            for home, (ids, t, c) in p.questions(state[0], s, step == 0):
+                yield home, (step, i, ids, t, c)
 
         return run
 
-    for _ in range(sweeps):
-        got = tree(one_sweep(sc.broadcast(list(history))))
-        history.append(fixed | _merge(got, crowd.totals(crowd.run(history)[-1])))
-    model = sc.broadcast((history, key, c))
+    def pass_(step: int, past=None) -> dict:
+        """One pass over the tokens: sends the questions, keeps the answers for later passes, gives the summed totals."""
+        asked = read().mapPartitionsWithIndex(ask(step, past)).partitionBy(parts, _same)
+        got = asked.filter(lambda x: x[1][0] == TOTALS).map(lambda x: x[1][1]).treeReduce(_merge)
+        questions.append(asked)
+        both = asked if step == 0 else sc.union([questions[0], asked])
+        answers.append(both.mapPartitionsWithIndex(lambda i, it: _answer(step)(i, (x for x in it if x[1][0] != TOTALS))).partitionBy(parts, _same))
+        return got
+
+    def read():
+        return sc.union([dealt, *answers]) if answers else dealt
+
+    questions, answers = [], []
+    first = pass_(0)
+    there = np.flatnonzero(first["crowd"] > 0)
+    crowd = _Seating(-1, hot_list.word[there], hot_list.ctx[there], first["crowd"][there].astype(np.int64), np.arange(n_hot))
+    places = np.arange(n_hot)
+    hot_total = first["hot_total"] + crowd.total
+    fixed = {"N": int(first["N"] + crowd.count.sum()), "V": first["V"] + int((hot_total > 0).sum()), "hot_total": hot_total,
+             "ctx_counts": first["ctx_counts"] + np.bincount(crowd.ctx, weights=crowd.count, minlength=n_hot)}
+
+    def whole(got: dict, state, r: int) -> dict:
+        """Totals after a sweep: the tasks', the frequent pairs' and the frequent words' tables in the root."""
+        g = fixed | _merge({k: got[k] for k in ("customers", "root_tables", "hot_customers", "ctx_tables")}, crowd.totals(state, places, n_hot))
+        rng = np.random.default_rng([SEED, parts + 1, r])
+        tables = _root_tables(rng, history[-1], g["hot_customers"]) if history else (g["hot_customers"] > 0).astype(float)
+        return g | {"hot_tables": tables, "root_tables": g["root_tables"] + float(tables.sum())}
+
+    history: list[dict] = []
+    history.append(whole(first, crowd.start(), 0))
+    for r in range(1, sweeps + 1):
+        got = pass_(r, sc.broadcast(list(history)))
+        history.append(whole(got, crowd.run(history, [g["ctx_tables"] for g in history])[-1], r))
+    states = crowd.run(history[:-1], [g["ctx_tables"] for g in history[:-1]])
+    at = np.full(len(hot_list.pairs), -1)
+    at[there] = np.arange(len(there))
+    crowd_prob = crowd.predictive(states, history, [g["ctx_tables"] for g in history], fixed["ctx_counts"],
+                                  np.where(hot_total[hot_list.word] > 0, hot_list.word, -1), hot_list.ctx, at)
+    model = sc.broadcast((history, crowd_prob))
 
     def score(i, it):
-        past, hot_key, hot_count = model.value
-        n, v = past[0]["N"], past[0]["V"]
-        p = _Part(it, hot.value)
+        past, crowd_p = model.value
+        g = past[0]
+        n, v = g["N"], g["V"]
+        p = _Part(it, hot.value, parts)
         for h in p.heads:
             yield h.tobytes(), b"", b""
         # one sum per text of everything that this task holds of it
         rid, doc = np.unique(p.rid, return_inverse=True)
-        sums = np.zeros((3, len(rid)))
-        for is_hot in (False, True):
-            s = _Seating(-1, max(1, len(hot.value)), hot_key, hot_count) if is_hot else _Seating(i, p.n_words, *p.pairs(False))
-            pick = p.hot == is_hot
-            if not pick.any():
-                continue
-            states = s.run(past[:-1])
-            u, inv = np.unique(p.key[pick], return_inverse=True)
-            word, ctx = u // CONTEXTS, u % CONTEXTS
-            total = s.total[word]
-            prob = s.predictive(states, past, np.where(total > 0, word, -1), ctx)
-            for k, x in enumerate((total > 0, np.log10((total + 1) / (n + (v + 1))), np.log10(prob))):
-                sums[k] += np.bincount(doc[pick], weights=x.astype(float)[inv], minlength=len(rid))
+        s = p.seating(i)
+        ctx_tables = [p.tables(r, x) for r, x in enumerate(past)]
+        states = s.run(past[:-1], ctx_tables)
+        total = s.of_root(s.total, g["hot_total"])[p.pair_word]
+        own = np.full(len(p.crowd), -1, dtype=np.int64)
+        own[(p.crowd < 0) & (p.count > 0)] = np.arange(len(s.word))
+        prob = s.predictive(states, past, ctx_tables, p.customers(g), np.where(total > 0, p.pair_word, -1), p.pair_ctx, own)
+        prob[p.crowd >= 0] = crowd_p[p.crowd[p.crowd >= 0]]
+        sums = np.stack([np.bincount(doc, weights=x.astype(float)[p.pair], minlength=len(rid))
+                         for x in (total > 0, np.log10((total + 1) / (n + (v + 1))), np.log10(prob))])
         for lo in range(0, len(rid), 200_000):
             s = slice(lo, lo + 200_000)
             yield b"", rid[s].tobytes(), np.ascontiguousarray(sums[:, s]).tobytes()
 
     blobs = spark.createDataFrame(
-        dealt.mapPartitionsWithIndex(score), "head binary, rid binary, sums binary", verifySchema=False)
+        read().mapPartitionsWithIndex(score), "head binary, rid binary, sums binary", verifySchema=False)
     rows = blobs.mapInArrow(_unpack, RESULT)
     total = rows.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score")])
