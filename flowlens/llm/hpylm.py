@@ -260,20 +260,21 @@ class _Part:
         home = (self.ctx[rare] % _U(parts)).astype(np.int64)
         order = np.argsort(home, kind="stable")
         self.asked = {int(home[x[0]]): rare[x] for x in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(x)}
-        self.answers = []
+        self.answers = {}  # by sweep; none for a task without rare contexts
         self.ctx_count = np.zeros(len(self.ctx), dtype=np.int64)
-        for step in sorted(answers):
+        for step in answers:
             tables = np.zeros(len(self.ctx), dtype=np.int64)
             for q, (t, c) in answers[step].items():
                 at = self.asked[q]
                 tables[at] = _wide(t, len(at))
                 if step == 0:
                     self.ctx_count[at] = _wide(c, len(at))
-            self.answers.append(tables)
+            self.answers[step] = tables
 
     def tables(self, step: int, g: dict) -> np.ndarray:
         """Table totals of this task's contexts after a sweep."""
-        return np.where(self.hot_ctx >= 0, g["ctx_tables"][self.hot_ctx], self.answers[step]) if len(g["ctx_tables"]) else self.answers[step]
+        own = self.answers.get(step, self.ctx_count)
+        return np.where(self.hot_ctx >= 0, g["ctx_tables"][self.hot_ctx], own) if len(g["ctx_tables"]) else own
 
     def customers(self, g: dict) -> np.ndarray:
         return np.where(self.hot_ctx >= 0, g["ctx_counts"][self.hot_ctx], self.ctx_count) if len(g["ctx_counts"]) else self.ctx_count
