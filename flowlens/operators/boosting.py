@@ -13,7 +13,8 @@ node, summed, and searched for the best edge where they meet. The driver gets on
 depth and classes, not by the rows. A fit has hundreds of such small jobs, so they run on an RDD of row blocks (a
 DataFrame job of two Python stages takes about five times as long to start). The blocks carry their rows' margins and are
 written anew every ``keep`` rounds (checkpoint in the shared folder); the trees grown since travel with the job. Sums of
-several tasks are added in the order they arrive, so runs may differ in the last digits.
+several tasks are added in the order they arrive, so runs may differ in the last digits. Up to ``HERE_ROWS`` rows lie in one
+task anyway, which then runs all rounds by itself, with the same sums: hundreds of jobs would take longer than their work.
 
 Defined results: missing inputs (NaN) go right; of equal gains the first feature and its least edge win; a class without
 training rows gets probability 0; no training rows raise a ValueError; a single class gives probability 1.
@@ -21,7 +22,7 @@ training rows gets probability 0; no training rows raise a ValueError; a single
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,8 @@ from flowlens.session import materialize
 
 #: rows of a task of a pass
 TASK_ROWS = 1 << 18
+#: up to so many rows all rounds run in one task
+HERE_ROWS = 1 << 16
 #: bytes of histograms that one task of the shuffled side sums
 TASK_HIST = 64 << 20
 #: gains up to this count as none
@@ -181,28 +184,35 @@ def _histograms(recent: Forest, current: Forest, live: list[np.ndarray], d: int,
 
     def body(rows: Iterator) -> Iterator[tuple[int, np.ndarray]]:
         sums = np.zeros((2, first[-1], d * n_bins))
-        feature = np.arange(d) * n_bins
         for row in rows:
             bins, y, weight, margin = _arrays(*row, d=d)
-            p = softmax(margin + recent.margins(bins, k, full_depth))
-            for c in range(k):
-                if not len(live[c]):
-                    continue
-                node = current.leaves(c, bins, depth)
-                slot = np.minimum(np.searchsorted(live[c], node), len(live[c]) - 1)
-                inside = live[c][slot] == node
-                pc, wc = p[inside, c], weight[inside]
-                g, h = wc * (pc - (y[inside] == c)), np.maximum(2 * wc * pc * (1 - pc), 1e-16)
-                cell = (slot[inside, None] * (d * n_bins) + feature + bins[inside]).ravel()
-                for i, v in enumerate((g, h)):
-                    got = np.bincount(cell, np.repeat(v, d), len(live[c]) * d * n_bins)
-                    sums[i, first[c] : first[c + 1]] += got.reshape(len(live[c]), -1)
+            _add(sums, bins, y, weight, softmax(margin + recent.margins(bins, k, full_depth)), current, live, n_bins, depth)
         for s in np.flatnonzero(sums[1].any(axis=1)):
             yield int(s), sums[:, s].reshape(2, d, n_bins)
 
     return body
 
 
+def _add(sums: np.ndarray, bins: np.ndarray, y: np.ndarray, weight: np.ndarray, p: np.ndarray, current: Forest,
+         live: list[np.ndarray], n_bins: int, depth: int) -> None:
+    """Adds a block's gradients to the sums of g and h (slots x feature and bin) of all live nodes."""
+    d = bins.shape[1]
+    first = np.concatenate([[0], np.cumsum([len(v) for v in live])])
+    feature = np.arange(d) * n_bins
+    for c in range(len(live)):
+        if not len(live[c]):
+            continue
+        node = current.leaves(c, bins, depth)
+        slot = np.minimum(np.searchsorted(live[c], node), len(live[c]) - 1)
+        inside = live[c][slot] == node
+        pc, wc = p[inside, c], weight[inside]
+        g, h = wc * (pc - (y[inside] == c)), np.maximum(2 * wc * pc * (1 - pc), 1e-16)
+        cell = (slot[inside, None] * (d * n_bins) + feature + bins[inside]).ravel()
+        for i, v in enumerate((g, h)):
+            got = np.bincount(cell, np.repeat(v, d), len(live[c]) * d * n_bins)
+            sums[i, first[c] : first[c + 1]] += got.reshape(len(live[c]), -1)
+
+
 @dataclass
 class Split:
     feature: int
@@ -274,38 +284,24 @@ class BoostedTrees:
         rows = materialize(raw.repartition(tasks).mapInArrow(_binned(edges, classes), BLOCK_SCHEMA))
         blocks = rows.rdd
 
-        done: list[Forest] = []
-        recent: list[Forest] = []
-        gain_sum, gain_n = np.zeros(d), np.zeros(d)
-        for _ in range(self.rounds):
-            tree = Forest(np.full((k, nodes), -1, np.int16), np.zeros((k, nodes), np.int16), np.zeros((k, nodes)))
-            live = [np.zeros(1, np.int64) for _ in range(k)]
-            before = _stack(recent, nodes)
-            for level in range(self.depth):
-                slots = [(c, int(node)) for c in range(k) for node in live[c]]
-                if not slots:
-                    break
-                best = self._splits(blocks, before, tree, live, d, n_bins, n_edges, level, tasks)
-                grown: list[list[int]] = [[] for _ in range(k)]
-                for s, r in sorted(best.items()):
-                    c, node = slots[s]
-                    if level == 0:
-                        tree.value[c, 0] = -self.rate * r.g / (r.h + self.lam)
-                    if not r.gain > LEAST_GAIN:
-                        continue
-                    tree.feature[c, node], tree.cut[c, node] = r.feature, r.cut
-                    gain_sum[r.feature] += r.gain
-                    gain_n[r.feature] += 1
-                    for child, g, h in ((2 * node + 1, r.gl, r.hl), (2 * node + 2, r.g - r.gl, r.h - r.hl)):
-                        tree.value[c, child] = -self.rate * g / (h + self.lam)
-                        if h >= 2 * self.min_child_weight:  # else no split of it is lawful
-                            grown[c].append(child)
-                live = [np.array(sorted(v), np.int64) for v in grown]
-            recent.append(tree)
-            done.append(tree)
-            if len(recent) == self.keep:
-                rows = materialize(rows.mapInArrow(_advanced(_stack(recent, nodes), d, k, self.depth), BLOCK_SCHEMA))
-                blocks, recent = rows.rdd, []
+        if tasks == 1 and sum(counts.values()) <= HERE_ROWS:
+            grown = blocks.mapPartitions(lambda rows: [self._rounds_here(rows, d, k, nodes, n_bins, n_edges)]).collect()
+            done, gain_sum, gain_n = next(r for r in grown if r)
+        else:
+            done, gain_sum, gain_n = [], np.zeros(d), np.zeros(d)
+            recent: list[Forest] = []
+            for _ in range(self.rounds):
+                before = _stack(recent, nodes)
+
+                def splits(tree: Forest, live: list[np.ndarray], level: int) -> dict[int, Split]:
+                    return self._splits(blocks, before, tree, live, d, n_bins, n_edges, level, tasks)
+
+                tree = self._tree(k, nodes, splits, gain_sum, gain_n)
+                recent.append(tree)
+                done.append(tree)
+                if len(recent) == self.keep:
+                    rows = materialize(rows.mapInArrow(_advanced(_stack(recent, nodes), d, k, self.depth), BLOCK_SCHEMA))
+                    blocks, recent = rows.rdd, []
 
         trees = _stack(done, nodes)
         cut = np.zeros(trees.cut.shape)
@@ -316,6 +312,56 @@ class BoostedTrees:
         return BoostedTreesModel(classes, self.n_classes, self.depth, self.features,
                                  Forest(trees.feature, cut, trees.value), [float(v) for v in share])
 
+    def _tree(self, k: int, nodes: int, splits: Callable, gain_sum: np.ndarray, gain_n: np.ndarray) -> Forest:
+        """One round: a tree per class, grown level by level by ``splits(trees, live nodes, level)``."""
+        tree = Forest(np.full((k, nodes), -1, np.int16), np.zeros((k, nodes), np.int16), np.zeros((k, nodes)))
+        live = [np.zeros(1, np.int64) for _ in range(k)]
+        for level in range(self.depth):
+            slots = [(c, int(node)) for c in range(k) for node in live[c]]
+            if not slots:
+                break
+            grown: list[list[int]] = [[] for _ in range(k)]
+            for s, r in sorted(splits(tree, live, level).items()):
+                c, node = slots[s]
+                if level == 0:
+                    tree.value[c, 0] = -self.rate * r.g / (r.h + self.lam)
+                if not r.gain > LEAST_GAIN:
+                    continue
+                tree.feature[c, node], tree.cut[c, node] = r.feature, r.cut
+                gain_sum[r.feature] += r.gain
+                gain_n[r.feature] += 1
+                for child, g, h in ((2 * node + 1, r.gl, r.hl), (2 * node + 2, r.g - r.gl, r.h - r.hl)):
+                    tree.value[c, child] = -self.rate * g / (h + self.lam)
+                    if h >= 2 * self.min_child_weight:  # else no split of it is lawful
+                        grown[c].append(child)
+            live = [np.array(sorted(v), np.int64) for v in grown]
+        return tree
+
+    def _rounds_here(self, rows: Iterator, d: int, k: int, nodes: int, n_bins: int, n_edges: list[int]) -> tuple | None:
+        """All rounds on the rows of one task; margins are added up as they are when written every ``keep`` rounds."""
+        blocks = [_arrays(*row, d=d) for row in rows]
+        if not blocks:
+            return None
+        margins, since = [b[3] for b in blocks], [np.zeros_like(b[3]) for b in blocks]
+        done, gain_sum, gain_n = [], np.zeros(d), np.zeros(d)
+        best = _best(n_edges, self.lam, self.min_child_weight)
+        for n in range(self.rounds):
+            p = [softmax(m + s) for m, s in zip(margins, since)]
+
+            def splits(tree: Forest, live: list[np.ndarray], level: int) -> dict[int, Split]:
+                sums = np.zeros((2, sum(len(v) for v in live), d * n_bins))
+                for (bins, y, weight, _), q in zip(blocks, p):
+                    _add(sums, bins, y, weight, q, tree, live, n_bins, level)
+                return {int(s): best(sums[:, s].reshape(2, d, n_bins)) for s in np.flatnonzero(sums[1].any(axis=1))}
+
+            tree = self._tree(k, nodes, splits, gain_sum, gain_n)
+            done.append(tree)
+            for (bins, *_), s in zip(blocks, since):
+                s += tree.margins(bins, k, self.depth)
+            if (n + 1) % self.keep == 0:
+                margins, since = [m + s for m, s in zip(margins, since)], [np.zeros_like(s) for s in since]
+        return done, gain_sum, gain_n
+
     def _splits(self, blocks: RDD, recent: Forest, tree: Forest, live: list[np.ndarray], d: int, n_bins: int,
                 n_edges: list[int], level: int, tasks: int) -> dict[int, Split]:
         """The best split of every live node: at most nodes of a level x classes entries."""

@@ -91,8 +91,6 @@ def q_predict_svm(spark, sf):
 
 VOTERS = ["Random Forest", "Logistic Regression"]
 VOTE = "Ensemble (Soft Voting)"
-#: rounds of the boosting query (the library's default is 100; a round is a job per tree level)
-QUERY_ROUNDS = 20
 
 
 def checked(scored, threshold: float):
@@ -118,7 +116,7 @@ def checked_scores(spark, sf, fit, score):
     """Models fitted on the training windows, saved as a bundle, loaded, and every labelled window scored by each."""
     windows = train_windows(spark, sf)
     path = shared_path(spark, f"bundle-checked-{uuid.uuid4().hex}")
-    ml.save_bundle(path, ml.train_all(windows, fit, boost_rounds=QUERY_ROUNDS), score[-1])
+    ml.save_bundle(path, ml.train_all(windows, fit), score[-1])
     bundle = ml.load_bundle(spark, path)
     out = None
     for name in score:
