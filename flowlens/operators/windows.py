@@ -334,11 +334,21 @@ def _field_getter(name: str):
 
 
 def _array_mode(vals: Column) -> Column:
-    """Most frequent non-null value of an array (<= size elements); ties -> smallest."""
-    distinct = F.array_distinct(F.filter(vals, lambda v: v.isNotNull()))
-    stats = F.transform(distinct, lambda d: F.struct(F.size(F.filter(vals, lambda v: v == d)).alias("c"), d.alias("v")))
-    best_c = F.array_max(F.transform(stats, lambda s: s["c"]))
-    return F.array_min(F.transform(F.filter(stats, lambda s: s["c"] == best_c), lambda s: s["v"]))
+    """Most frequent non-null value of an array (<= size elements); ties -> smallest.
+
+    One walk over the sorted values keeps the longest run (``n`` of ``v``) and the current one (``c`` of ``x``): a filter per
+    distinct value would be a lambda call for every pair of them."""
+    ordered = F.sort_array(F.array_compact(vals))
+
+    def step(acc: Column, x: Column) -> Column:
+        c = F.when(acc["x"] == x, acc["c"] + 1).otherwise(1)
+        longer = c > acc["n"]
+        return F.struct(F.when(longer, c).otherwise(acc["n"]).alias("n"), F.when(longer, x).otherwise(acc["v"]).alias("v"),
+                        c.alias("c"), x.alias("x"))
+
+    first = F.get(ordered, F.lit(0))
+    zero = F.struct(F.lit(0).alias("n"), first.alias("v"), F.lit(0).alias("c"), first.alias("x"))
+    return F.aggregate(ordered, zero, step, lambda acc: acc["v"])
 
 
 def window_features(

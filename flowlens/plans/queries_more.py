@@ -19,7 +19,7 @@ from flowlens.plans.queries_eval import RULES, METRICS, SCORED, _metrics, _repor
 from flowlens.plans.queries_prep import BASE, CLEAN_DROP, TIMELINE, clean, timeline
 from flowlens.plans.queries_stream import _scratch
 from flowlens.plans.registry import register
-from flowlens.session import shared_path
+from flowlens.session import materialize, shared_path
 from flowlens.sources.packets import packets_from_events, read_packets_csv
 
 DASH_DOUBLES = [d for d in O.WINDOW_DOUBLES if d != "dominant_ratio"]
@@ -30,7 +30,9 @@ def sql(*ctes, final):
 
 
 def dashboard_windows(spark, sf, method="chunks"):
-    return window_features(packet_features(clean(spark, sf, "drop")), method=method, dashboard=True)
+    # written, as the training packets are: gaps, ranks and windows read them eight times
+    packets = materialize(packet_features(materialize(clean(spark, sf, "drop"))))
+    return window_features(packets, method=method, dashboard=True)
 
 
 CLEAN_DROP_FEAT = [O.PACKETS, CLEAN_DROP]
