@@ -19,7 +19,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,12 +29,15 @@ from flowlens.constants import CLASS_NAMES, FEATURE_COLS, RANDOM_SEED, STEP_SIZE
 from flowlens.operators import decide as D
 from flowlens.operators import evaluate as EV
 from flowlens.operators.boosting import BoostedTrees, BoostedTreesModel
+from flowlens.operators.forest import ForestClassifier, ForestModel
 from flowlens.functions.packet import np_round
 from flowlens.operators.rank import packet_rank
 from flowlens.operators.svm import LinearOvrModel, LinearOvrSvm
 from flowlens.session import materialize
 
 LABEL = "Label"
+#: models of this library (the others are Spark's)
+OWN_MODELS = (LinearOvrModel, BoostedTreesModel, ForestModel)
 
 
 # ---------------------------------------------------------------- preparation
@@ -97,8 +99,8 @@ def model_defs(n_train: int, boost_rounds: int = 100) -> dict[str, tuple[object,
     return {
         # node ids kept by row: else every pass ships the trees grown so far in its tasks; written every other pass: until then
         # a pass ships the splits of all passes since (same trees either way)
-        "Random Forest": (RandomForestClassifier(numTrees=100, maxDepth=20, seed=RANDOM_SEED, weightCol="weight", labelCol=LABEL,
-                                                 featuresCol="features", cacheNodeIds=True, checkpointInterval=2), False, "proba"),
+        "Random Forest": (ForestClassifier(numTrees=100, maxDepth=20, seed=RANDOM_SEED, weightCol="weight", labelCol=LABEL,
+                                           featuresCol="features", cacheNodeIds=True, checkpointInterval=2), False, "proba"),
         "Decision Tree": (DecisionTreeClassifier(maxDepth=15, seed=RANDOM_SEED, weightCol="weight", labelCol=LABEL,
                                                  featuresCol="features"), False, "proba"),
         "Logistic Regression": (LogisticRegression(maxIter=500, family="multinomial", regParam=reg, standardization=False,
@@ -131,7 +133,7 @@ def class_scores(model, kind: str, df: DataFrame, n_classes: int = len(CLASS_NAM
 
 def _array(model, col: str) -> Column:
     """Output column of a model as an array (the library's own models give arrays, Spark's give vectors)."""
-    return F.col(col) if isinstance(model, (LinearOvrModel, BoostedTreesModel)) else vector_to_array(col)
+    return F.col(col) if isinstance(model, OWN_MODELS) else vector_to_array(col)
 
 
 def _pad(arr: Column, n: int) -> Column:
@@ -184,7 +186,7 @@ def feature_importance(model, name: str, cols: Sequence[str] = FEATURE_COLS) ->
     if isinstance(model, tuple):
         members = [dict(feature_importance(m, name, cols)) for m in model[0].models]
         return [(c, sum(m[c] for m in members) / len(members)) for c in cols]
-    if isinstance(model, (LinearOvrModel, BoostedTreesModel)):
+    if isinstance(model, OWN_MODELS):
         return list(zip(cols, model.importances()))
     if isinstance(model, LinearSVCModel):
         return list(zip(cols, [abs(float(x)) for x in model.coefficients.toArray()]))
@@ -290,7 +292,7 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
             "best_model": best, "window_size": window_size, "step_size": step_size, "models": {}}
     for i, (name, (model, kind)) in enumerate(trained["models"].items()):
         sub = f"model_{i}"
-        if isinstance(model, (LinearOvrModel, BoostedTreesModel)):
+        if isinstance(model, OWN_MODELS):
             model.save(os.path.join(path, sub))
         else:
             model.write().overwrite().save(os.path.join(path, sub))
@@ -311,7 +313,7 @@ def save_bundle(path: str, trained: dict, best: str, window_size: int = WINDOW_S
 _LOADERS = {"RandomForestClassificationModel": RandomForestClassificationModel,
             "DecisionTreeClassificationModel": DecisionTreeClassificationModel,
             "LogisticRegressionModel": LogisticRegressionModel, "PipelineModel": PipelineModel,
-            "LinearOvrModel": LinearOvrModel, "BoostedTreesModel": BoostedTreesModel}
+            "LinearOvrModel": LinearOvrModel, "BoostedTreesModel": BoostedTreesModel, "ForestModel": ForestModel}
 
 
 def load_bundle(spark, path: str) -> dict:
